@@ -443,6 +443,9 @@ GROUP BY event_id HAVING count(*) > 1""",
         "batch_cycle": f"WITH {SOURCES},{_landed('employee', ASOF, 'first', False)},"
                        f"{_landed('first', LATER, 'second', True)} "
                        f"{READ_TABLE.format(fact='second')}",
+        "batch_cycle_overlay": f"WITH {SOURCES},{_landed('employee', ASOF, 'first', False)},"
+                               f"{_landed('first', LATER, 'second', True)} "
+                               f"{READ_TABLE.format(fact='second')}",
         "partitioned_write_roundtrip": "SELECT *, CAST(o_orderkey % 4 AS INTEGER) AS bucket "
                                        "FROM orders",
         "partitioned_write_one_key": "SELECT * FROM customer",

@@ -64,18 +64,24 @@ def measure_side(side: DataFrame, keys: Sequence[str]) -> SideSize:
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Every key that holds at least ``share`` of the rows, at most ``1 / share`` values.
+    """Keys that hold at least ``share`` of the rows, at most ``1 / share`` values.
 
-    The frequent-items sketch never misses a key above the share; it may add colder ones,
-    which costs nothing because the split below is exact for any set of keys.
+    One pass over the key column with a sketch.  It only steers how the rows travel: the
+    split below is exact for any set of keys.
     """
-    found = df.filter(F.col(key).isNotNull()).stat.freqItems([key], share).first()
-    return [value for value in (found[0] or []) if value is not None]
+    if not isinstance(df.schema[key].dataType, (T.IntegralType, T.StringType, T.DateType)):
+        return []  # left to adaptive skew handling
+    most = int(1 / share)
+    row = df.filter(F.col(key).isNotNull()).agg(
+        F.call_function("approx_top_k", F.col(key), F.lit(most), F.lit(100 * most)).alias("top"),
+        F.count("*").alias("total"),
+    ).first()
+    return [item["item"] for item in row.top if item["count"] >= share * row.total]
 
 
 def split_join(large: DataFrame, small: DataFrame, key: str, how: str,
                broadcast: bool) -> DataFrame:
-    """Join on one key of which ``small`` holds at most one row each.
+    """Join on one key; for inner and left joins ``small`` holds one row per key.
 
     Broadcast when allowed.  Otherwise the hot keys of the large side, and its null keys
     where the join keeps them, are joined in place against the few small rows they can
@@ -83,17 +89,29 @@ def split_join(large: DataFrame, small: DataFrame, key: str, how: str,
     """
     if broadcast:
         return large.join(F.broadcast(small), key, how)
+    # the size was found too large to broadcast, whatever a file size might suggest
+    spread = small.hint("merge")
     hot = hot_keys(large, key)
     keeps_null = how in ("left", "left_anti")
     if not hot and not keeps_null:
-        return large.join(small, key, how)
+        return large.join(spread, key, how)
     column = F.col(key)
     is_hot = column.isin(hot) if hot else F.lit(False)
     in_place = large.filter(column.isNull() | is_hot if keeps_null else is_hot)
     shuffled = large.filter(column.isNotNull() & ~is_hot)
-    few = small.filter(is_hot)  # one row per hot key at most
+    few = small.filter(is_hot)
+    if how in ("left_anti", "left_semi"):
+        few = few.select(key).distinct()  # either way one row per hot key at most
     return in_place.join(F.broadcast(few), key, how).unionByName(
-        shuffled.join(small, key, how))
+        shuffled.join(spread, key, how))
+
+
+def filtering_join(large: DataFrame, keys: DataFrame, key: str, how: str,
+                   broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Rows of ``large`` whose key is (``left_semi``) or is not (``left_anti``) among ``keys``."""
+    side = keys.select(key)
+    fits = measure_side(side, [key]).bytes <= broadcast_limit
+    return split_join(large, side, key, how, fits).select(large.columns)
 
 
 def many_to_one_join(large: DataFrame, small: DataFrame, key: str, how: str = "inner",
@@ -114,16 +132,10 @@ def many_to_one_join(large: DataFrame, small: DataFrame, key: str, how: str = "i
     return split_join(large, small, key, how, size.bytes <= broadcast_limit)
 
 
-def keys_only(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key).filter(F.col(key).isNotNull()).distinct()
-
-
 def unmatched_rows(large: DataFrame, small: DataFrame, key: str,
                    broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Rows an inner join would drop, null keys included: the quarantine of a build."""
-    keys = keys_only(small, key)
-    fits = measure_side(keys, [key]).bytes <= broadcast_limit
-    return split_join(large, keys, key, "left_anti", fits).select(large.columns)
+    return filtering_join(large, small, key, "left_anti", broadcast_limit)
 
 
 def computed_key_join(rows: DataFrame, parents: DataFrame, parent_key: str,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import (
-    BROADCAST_LIMIT, FanOutError, keys_only, many_to_one_join, measure_side, split_join,
+    BROADCAST_LIMIT, FanOutError, many_to_one_join, measure_side, split_join,
 )
 from tidemark.sources.scratch import materialise
 from tidemark.sources.writers import by_partition
@@ -48,12 +48,14 @@ def upsert(target: DataFrame, batch: DataFrame, key: str,
            broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Target rows whose key is not in the batch, then the batch itself.
 
-    ``batch`` must hold one row per key.  Only its keys meet the target; while they fit,
-    the target is neither shuffled nor sorted.
+    ``batch`` must hold one row per key (``one_per_key``).  Only its keys meet the target;
+    while they fit, the target is neither shuffled nor sorted.
     """
-    keys = keys_only(batch, key)
-    fits = measure_side(keys, [key]).bytes <= broadcast_limit
-    kept = split_join(target, keys, key, "left_anti", fits)
+    keys = batch.select(key)
+    size = measure_side(keys, [key])
+    if not size.unique:
+        raise FanOutError(f"a batch with {size.rows_of_largest_key} rows for one {key!r}")
+    kept = split_join(target, keys, key, "left_anti", size.bytes <= broadcast_limit)
     return kept.select(target.columns).unionByName(batch.select(target.columns))
 
 

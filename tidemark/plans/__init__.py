@@ -6,11 +6,12 @@ from tidemark.plans.output import (
     BuildResult, OutputCheckError, build_output, changed_rows, check_output, quarantine,
     refresh_output, run_build,
 )
+from tidemark.plans.overlay import OverlayResult, compact_overlay, refresh_overlay
 from tidemark.plans.verify import Expectations, verify, verify_layout
 
 __all__ = [
-    "BuildResult", "Expectations", "MOVE", "OutputCheckError", "allocate_ids",
-    "build_output", "changed_rows", "check_output", "create_sources",
+    "BuildResult", "Expectations", "MOVE", "OutputCheckError", "OverlayResult", "allocate_ids",
+    "build_output", "changed_rows", "check_output", "compact_overlay", "create_sources",
     "generate_dimension", "generate_fact", "land_batch", "moved_rows", "new_rows",
-    "next_id", "quarantine", "refresh_output", "run_build", "verify", "verify_layout",
+    "next_id", "quarantine", "refresh_output", "refresh_overlay", "run_build", "verify", "verify_layout",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.config import OutputSpec, WatermarkPolicy
 from tidemark.operators.checks import reconcile
 from tidemark.operators.joins import (
-    BROADCAST_LIMIT, keys_only, many_to_one_join, measure_side, split_join, unmatched_rows,
+    BROADCAST_LIMIT, filtering_join, many_to_one_join, unmatched_rows,
 )
 from tidemark.operators.merge import one_per_key, upsert
 from tidemark.operators.watermark import high_water_mark, is_newer
@@ -19,6 +19,11 @@ from tidemark.sources.scratch import materialise
 from tidemark.sources.writers import publish_clustered, write_clustered
 
 
+# A file of the read table holds about this many rows (a few hundred MB), so one task sorts
+# that much at any size of the table.
+ROWS_PER_FILE = 4_000_000
+
+
 class OutputCheckError(RuntimeError):
     """A freshly built version is not what its sources say it should be."""
 
@@ -48,10 +53,8 @@ def changed_rows(fact: DataFrame, previous: DataFrame, spec: OutputSpec = Output
     newer = is_newer(spec.watermark, mark, policy)
     changed = rows.filter(newer)
     if retry is not None:
-        keys = keys_only(retry, spec.key)
-        fits = measure_side(keys, [spec.key]).bytes <= BROADCAST_LIMIT
         older = rows.filter(~F.coalesce(newer, F.lit(False)))
-        changed = changed.unionByName(split_join(older, keys, spec.key, "left_semi", fits))
+        changed = changed.unionByName(filtering_join(older, retry, spec.key, "left_semi"))
     return changed
 
 
@@ -82,6 +85,18 @@ def quarantine(fact: DataFrame, dimension: DataFrame, spec: OutputSpec = OutputS
     return unmatched_rows(fact.select(*spec.fact_columns), dimension, spec.join_key)
 
 
+def new_version(table: str, root: str) -> str:
+    return f"{root.rstrip('/')}/{table.replace('.', '_')}-{uuid.uuid4().hex}"
+
+
+def enough_files(rows_of: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> int | None:
+    """How many files a clustered write needs, or ``None`` while the session's own number
+    of shuffle partitions is enough (adaptive execution then packs them)."""
+    needed = -(-rows_of.count() // rows_per_file)
+    usual = int(rows_of.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return needed if needed > usual else None
+
+
 @dataclass(frozen=True)
 class BuildResult:
     table: str
@@ -92,10 +107,8 @@ class BuildResult:
 def check_output(fact: DataFrame, dimension: DataFrame, built: DataFrame,
                  spec: OutputSpec = OutputSpec()) -> None:
     """Raise unless the output holds each fact key that has a dimension row exactly once."""
-    joinable = split_join(
-        fact.select(spec.key, spec.join_key), keys_only(dimension, spec.join_key),
-        spec.join_key, "left_semi",
-        measure_side(dimension.select(spec.join_key), [spec.join_key]).bytes <= BROADCAST_LIMIT)
+    joinable = filtering_join(
+        fact.select(spec.key, spec.join_key), dimension, spec.join_key, "left_semi")
     row = reconcile(joinable, built, spec.key, [spec.key, spec.join_key]).first().asDict()
     faults = {name: row[name] for name in (
         "missing_keys", "extra_keys", "duplicate_output_keys", "output_nulls") if row[name]}
@@ -117,8 +130,8 @@ def run_build(spark: SparkSession, table: str, fact: DataFrame, dimension: DataF
     exists = spark.catalog.tableExists(table)
     previous = spark.table(table) if exists and not full else None
     result = refresh_output(fact, dimension, previous, spec, policy, retry, restate)
-    path = f"{root.rstrip('/')}/{table.replace('.', '_')}-{uuid.uuid4().hex}"
-    write_clustered(result, path, spec.cluster_by, [spec.key], files)
+    path = new_version(table, root)
+    write_clustered(result, path, spec.cluster_by, [spec.key], files or enough_files(fact))
     if check:
         check_output(fact, dimension, spark.read.parquet(path), spec)
     publish_clustered(spark, table, path, spec.cluster_by)

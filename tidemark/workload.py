@@ -27,11 +27,12 @@ from tidemark.operators import (
     one_per_key, orphans, partial_update, partition_profile, reconcile, relationships,
     row_counts, skew_profile, upsert, watermark_profile,
 )
+from tidemark.operators.joins import BROADCAST_LIMIT
 from tidemark.plans import (
     Expectations, allocate_ids, build_output, create_sources, generate_dimension,
-    generate_fact, land_batch, quarantine, refresh_output, run_build, verify, verify_layout,
+    generate_fact, land_batch, new_rows, quarantine, refresh_output, refresh_overlay, run_build, verify,
+    verify_layout,
 )
-from tidemark.plans import new_rows
 from tidemark.sources import (
     DEPARTMENT, EMPLOYEE, append_rows, cluster_summary, create_or_replace, materialise,
     read_table, scratch_folder, table_detail, write_clustered, write_partitioned,
@@ -78,7 +79,7 @@ def _employees(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return generate_fact(spark, CONFIG, dimension, _employee_ids(spark, sf_dir)), dimension
 
 
-def _scratch_database(spark: SparkSession) -> str:
+def scratch_database(spark: SparkSession) -> str:
     """A database of its own below the shared folder, so runs never meet."""
     path = scratch_folder(spark, "tables")
     name = "tidemark_" + path.rsplit("-", 1)[1]
@@ -87,7 +88,7 @@ def _scratch_database(spark: SparkSession) -> str:
 
 
 def _source_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
-    database = _scratch_database(spark)
+    database = scratch_database(spark)
     employee, department = f"{database}.employee", f"{database}.department"
     create_sources(spark, CONFIG, employee, department, _employee_ids(spark, sf_dir))
     return database, employee, department
@@ -315,7 +316,7 @@ def merge_partial_update_query(spark, sf_dir):
 
 def merge_partition_move_query(spark, sf_dir):
     """Customers partitioned by nation; those of the first nations leave them empty."""
-    table = f"{_scratch_database(spark)}.customer"
+    table = f"{scratch_database(spark)}.customer"
     customer = _table(spark, sf_dir, "customer")
     customer.hint("rebalance", "c_nationkey").write.partitionBy("c_nationkey").saveAsTable(table)
     moves = customer.filter(F.col("c_nationkey") < 3).select(
@@ -384,6 +385,20 @@ def batch_cycle_query(spark, sf_dir):
     return spark.table(output)
 
 
+def batch_cycle_overlay_query(spark, sf_dir):
+    """The same cycle with changes kept beside the base; the last one is folded in."""
+    database, employee, department = _source_tables(spark, sf_dir)
+    root = scratch_folder(spark, "output")
+    output = f"{database}.employee_department"
+    dimension = spark.table(department)
+    refresh_overlay(spark, output, spark.table(employee), dimension, root)
+    for batch in (BATCH, LATER_BATCH):
+        land_batch(spark, employee, department, CONFIG, batch)
+        refresh_overlay(spark, output, spark.table(employee), dimension, root,
+                        broadcast_limit=0 if batch is LATER_BATCH else BROADCAST_LIMIT)
+    return spark.table(output)
+
+
 # --- layout -------------------------------------------------------------------------
 
 def partitioned_write_roundtrip_query(spark, sf_dir):
@@ -474,6 +489,7 @@ def queries() -> dict[str, Query]:
         "gold_incremental": gold_incremental_query,
         "gold_restated": gold_restated_query,
         "batch_cycle": batch_cycle_query,
+        "batch_cycle_overlay": batch_cycle_overlay_query,
         "partitioned_write_roundtrip": partitioned_write_roundtrip_query,
         "partitioned_write_one_key": partitioned_write_one_key_query,
         "layout_detail": layout_detail_query,
