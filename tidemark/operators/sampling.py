@@ -29,8 +29,8 @@ def hash_order_sample(df: DataFrame, key: str, k: int, salt: str = SALT_MOVE_ORD
     position = F.col(order)
     width = isqrt(span - 1) + 1  # two counts of at most `width` groups find the value
     block, taken, size = _reaching(ordered, F.floor(position / width), k)
-    if taken + size <= k:
-        return df  # the table holds no more than k rows
+    if taken + size < k:
+        return df  # the table holds fewer than k rows
     in_block = ordered.filter((position >= block * width) & (position < (block + 1) * width))
     value, within, _ = _reaching(in_block, position, k - taken)
     whole = ordered.filter(position < value)

@@ -16,12 +16,7 @@ from tidemark.operators.joins import (
 from tidemark.operators.merge import one_per_key, upsert
 from tidemark.operators.watermark import high_water_mark, is_newer
 from tidemark.sources.scratch import materialise
-from tidemark.sources.writers import publish_clustered, write_clustered
-
-
-# A file of the read table holds about this many rows (a few hundred MB), so one task sorts
-# that much at any size of the table.
-ROWS_PER_FILE = 4_000_000
+from tidemark.sources.writers import ROWS_PER_FILE, publish_clustered, write_clustered
 
 
 class OutputCheckError(RuntimeError):

@@ -6,11 +6,10 @@ import os
 
 from pyspark.sql import SparkSession
 
-# Settings the jobs rely on; all but the last are Spark's defaults, stated on purpose.
+# Settings the jobs rely on; all but the last are defaults, stated on purpose.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }

@@ -67,9 +67,10 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     """
     if len(df.columns) != len(spec.schema):
         raise ValueError(f"{len(df.columns)} columns for a table of {len(spec.schema)}")
-    return df.select([
-        F.col(f"`{given}`").cast(field.dataType).alias(field.name, metadata=field.metadata)
-        for given, field in zip(df.columns, spec.schema)
+    placed = df.toDF(*spec.columns)
+    return placed.select([
+        F.col(field.name).cast(field.dataType).alias(field.name, metadata=field.metadata)
+        for field in spec.schema
     ])
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,15 +12,34 @@ from pyspark.sql import functions as F
 from tidemark.sources.tables import TableSpec, conform
 
 
-def by_partition(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = ()) -> DataFrame:
-    """Bring the rows of one partition directory together without trusting its size.
+# About this many rows go into a file (some hundred MB) before a directory gets another
+# one; one task sorts and writes that much at any size of the table.
+ROWS_PER_FILE = 4_000_000
 
-    ``REBALANCE`` hashes on the partition keys, then adaptive execution splits a directory
-    that outgrows the advisory size over many tasks (and files) and packs small ones
-    together.  A plain ``repartition(keys)`` would send a hot directory, however large, to
-    a single task.  Sorting by the keys first also saves the writer its own sort.
+
+def by_partition(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = (),
+                 rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Bring the rows of one partition directory together, however large it is.
+
+    Directories are counted first.  One that needs several files has its rows spread over
+    that many slots by a hash of the row, so a hot directory is written by many tasks and
+    a small one still gets a single file.  (A plain ``repartition(keys)`` sends the hot one
+    to a single task; splitting tasks by size at run time would also cut up whatever small
+    directories share its tasks.)  Sorting by the keys saves the writer its own sort.
     """
-    return df.hint("rebalance", *keys).sortWithinPartitions(*keys, *sort_by)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    if (sizes.agg(F.max("n").alias("n")).first().n or 0) <= rows_per_file:
+        return df.repartition(*keys).sortWithinPartitions(*keys, *sort_by)
+    slots, slot = "__slots", "__slot"
+    # at most one row per partition directory
+    several = sizes.filter(F.col("n") > rows_per_file).select(
+        *[F.col(key).alias(f"__{key}") for key in keys],
+        F.ceil(F.col("n") / rows_per_file).alias(slots))
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys])
+    spread = df.join(F.broadcast(several), same, "left").withColumn(
+        slot, F.pmod(F.xxhash64(*df.columns), F.coalesce(slots, F.lit(1))))
+    return (spread.repartition(*keys, slot).sortWithinPartitions(*keys, slot, *sort_by)
+            .select(df.columns))
 
 
 def by_range(df: DataFrame, keys: Sequence[str], tie: Sequence[str],
@@ -36,8 +57,9 @@ def by_range(df: DataFrame, keys: Sequence[str], tie: Sequence[str],
 
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str],
-                      sort_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    by_partition(df, keys, sort_by).write.mode(mode).partitionBy(*keys).parquet(path)
+                      sort_by: Sequence[str] = (), mode: str = "errorifexists",
+                      rows_per_file: int = ROWS_PER_FILE) -> None:
+    by_partition(df, keys, sort_by, rows_per_file).write.mode(mode).partitionBy(*keys).parquet(path)
 
 
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str], tie: Sequence[str],

@@ -34,7 +34,7 @@ from tidemark.plans import (
     verify_layout,
 )
 from tidemark.sources import (
-    DEPARTMENT, EMPLOYEE, append_rows, cluster_summary, create_or_replace, materialise,
+    DEPARTMENT, EMPLOYEE, append_rows, by_partition, cluster_summary, create_or_replace, materialise,
     read_table, scratch_folder, table_detail, write_clustered, write_partitioned,
 )
 
@@ -318,7 +318,7 @@ def merge_partition_move_query(spark, sf_dir):
     """Customers partitioned by nation; those of the first nations leave them empty."""
     table = f"{scratch_database(spark)}.customer"
     customer = _table(spark, sf_dir, "customer")
-    customer.hint("rebalance", "c_nationkey").write.partitionBy("c_nationkey").saveAsTable(table)
+    by_partition(customer, ["c_nationkey"]).write.partitionBy("c_nationkey").saveAsTable(table)
     moves = customer.filter(F.col("c_nationkey") < 3).select(
         "c_custkey", (F.col("c_nationkey") + 10).alias("new_nationkey"))
     move_partitions(spark, table, moves, "c_custkey", {"c_nationkey": "new_nationkey"},
