@@ -133,11 +133,17 @@ def test_quarantined_rows_come_back_when_their_parent_arrives(spark):
 def test_check_output_refuses_lost_and_doubled_rows(spark):
     fact, dim = fact_of(spark, BASE + [(4, "q", 0, 0)]), dim_of(spark, DIM)
     output = build_output(fact, dim, SPEC)
-    check_output(fact, dim, output, SPEC)  # the orphan is not expected in the output
+    lost = output.filter("id <> 1")
+    for level in ("keys", "counts"):
+        check_output(fact, dim, output, SPEC, level)  # the orphan is not expected in the output
+        with pytest.raises(OutputCheckError):
+            check_output(fact, dim, lost, SPEC, level)
+    swapped = lost.union(output.filter("id = 2"))
+    check_output(fact, dim, swapped, SPEC, "counts")
     with pytest.raises(OutputCheckError):
-        check_output(fact, dim, output.filter("id <> 1"), SPEC)
-    with pytest.raises(OutputCheckError):
-        check_output(fact, dim, output.filter("id <> 1").union(output.filter("id = 2")), SPEC)
+        check_output(fact, dim, swapped, SPEC)
+    with pytest.raises(ValueError):
+        check_output(fact, dim, output, SPEC, "some")
 
 
 def _sources(spark, database):

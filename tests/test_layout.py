@@ -84,6 +84,16 @@ def test_clustered_write_splits_a_hot_key_and_skips_files(spark, skewed, tmp_pat
     assert max(f.rows for f in files) < 30_000 / 3  # and none holds all of it
 
 
+def test_copies_of_one_row_do_not_end_in_one_task(spark, tmp_path):
+    copies = spark.range(0, 8_000, 1, 8).select(F.lit(1).alias("k"), F.lit(2).alias("id"))
+    write_clustered(copies, str(tmp_path / "c"), ["k"], ["id"], files=4)
+    per_file = read_table(spark, str(tmp_path / "c")).groupBy("_metadata.file_path").count()
+    assert per_file.agg(F.max("count")).first()[0] <= 4_000
+    with uncoalesced(spark):
+        write_partitioned(copies, str(tmp_path / "p"), ["k"], rows_per_file=1_000)
+    assert len(list((tmp_path / "p" / "k=1").glob("*.parquet"))) > 2
+
+
 def test_scattered_rows_are_not_well_clustered(spark, skewed, tmp_path):
     path = str(tmp_path / "t")
     skewed.repartition(6).write.parquet(path)

@@ -30,8 +30,9 @@ class Expectations:
     distinct_days: tuple[int, int] | None = None
 
     @classmethod
-    def of(cls, config: GenerationConfig, tolerance: float = 2.0) -> Expectations:
-        """What freshly generated tables should show.
+    def of(cls, config: GenerationConfig, tolerance: float = 2.0,
+           landed: int = 0) -> Expectations:
+        """What freshly generated tables should show, or those with ``landed`` rows added.
 
         The hot share follows from the draw (38.75% with 24 departments, not the 30% that
         go to the hot keys only), and the days number one more when a row falls on the
@@ -40,12 +41,13 @@ class Expectations:
         share = 100.0 * expected_hot_share(
             config.departments, config.hot_keys, config.hot_percent)
         return cls(
-            fact_rows=config.employees,
+            fact_rows=config.employees + landed,
             dimension_rows=config.departments,
             partitions=config.departments * config.buckets,
             hot_keys=config.hot_keys,
             hot_percent=(share - tolerance, share + tolerance),
-            distinct_days=(config.history_days, config.history_days + 1),
+            # a batch adds the anchor's day, and part of the next one
+            distinct_days=(config.history_days, config.history_days + (2 if landed else 1)),
         )
 
 

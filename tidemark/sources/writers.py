@@ -6,15 +6,22 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.tables import TableSpec, conform
 
-
-# About this many rows go into a file (some hundred MB) before a directory gets another
+# About this many rows go into a file (100 to 200 MB as a rule) before a directory gets another
 # one; one task sorts and writes that much at any size of the table.
-ROWS_PER_FILE = 4_000_000
+ROWS_PER_FILE = 2_000_000
+
+
+def _spread(df: DataFrame) -> Column:
+    """A number that scatters rows, and even copies of one row, as long as they come from
+    different input partitions.  A retried task computes the same numbers again."""
+    hashable = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(F.spark_partition_id(), *hashable)
 
 
 def by_partition(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = (),
@@ -22,8 +29,8 @@ def by_partition(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = ()
     """Bring the rows of one partition directory together, however large it is.
 
     Directories are counted first.  One that needs several files has its rows spread over
-    that many slots by a hash of the row, so a hot directory is written by many tasks and
-    a small one still gets a single file.  (A plain ``repartition(keys)`` sends the hot one
+    that many slots, so a hot directory is written by many tasks and a small one still
+    gets a single file.  (A plain ``repartition(keys)`` sends the hot one
     to a single task; splitting tasks by size at run time would also cut up whatever small
     directories share its tasks.)  Sorting by the keys saves the writer its own sort.
     """
@@ -37,7 +44,7 @@ def by_partition(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = ()
         F.ceil(F.col("n") / rows_per_file).alias(slots))
     same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys])
     spread = df.join(F.broadcast(several), same, "left").withColumn(
-        slot, F.pmod(F.xxhash64(*df.columns), F.coalesce(slots, F.lit(1))))
+        slot, F.pmod(_spread(df), F.coalesce(slots, F.lit(1))))
     return (spread.repartition(*keys, slot).sortWithinPartitions(*keys, slot, *sort_by)
             .select(df.columns))
 
@@ -46,14 +53,17 @@ def by_range(df: DataFrame, keys: Sequence[str], tie: Sequence[str],
              files: int | None = None) -> DataFrame:
     """Order rows over files by the read keys, so min/max statistics skip files.
 
-    The range bounds include the tie columns (a unique id): a key that holds a third of
-    the rows is then cut into as many files as its size asks for.  Without ``files`` the
-    number follows ``spark.sql.shuffle.partitions`` and adaptive coalescing.
+    The range bounds include the tie columns (a unique id) and a scattered number: a key
+    that holds a third of the rows, and even a row that occurs that often, is cut into as
+    many files as its size asks for.  Without ``files`` the number follows
+    ``spark.sql.shuffle.partitions`` and adaptive coalescing.
     """
     order = [*keys, *[column for column in tie if column not in keys]]
-    ranged = (df.repartitionByRange(files, *order) if files
-              else df.repartitionByRange(*[F.col(column) for column in order]))
-    return ranged.sortWithinPartitions(*order)
+    scattered = df.withColumn("__scattered", _spread(df))
+    bounds = [F.col(column) for column in (*order, "__scattered")]
+    ranged = (scattered.repartitionByRange(files, *bounds) if files
+              else scattered.repartitionByRange(*bounds))
+    return ranged.sortWithinPartitions(*order).select(df.columns)
 
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str],
