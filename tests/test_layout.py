@@ -5,10 +5,9 @@ from conftest import SMALL, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from tidemark.plans import create_sources
-from tidemark.plans.output import enough_files
 from tidemark.sources import (
     analyze, by_partition, cluster_profile, cluster_summary, clustering_columns, materialise,
-    partition_columns, publish_clustered, read_table, scratch_folder, table_detail, value_rows,
+    more_than_usual, partition_columns, publish_clustered, read_table, scratch_folder, table_detail, value_rows,
     write_clustered, write_partitioned,
 )
 
@@ -69,7 +68,7 @@ def test_a_hot_null_partition_is_split_too(spark, tmp_path):
 def test_the_writer_needs_no_second_sort(spark, skewed, rows_per_file):
     laid_out = by_partition(skewed, ["k", "b"], ["id"], rows_per_file)
     plan = plan_of(laid_out)
-    assert plan.count("Sort [") == 1 and plan.count("REPARTITION_BY_COL") == 1
+    assert plan.count("Sort [") == 1 and plan.count("REPARTITION_BY_") == 1
 
 
 def test_clustered_write_splits_a_hot_key_and_skips_files(spark, skewed, tmp_path):
@@ -132,9 +131,11 @@ def test_value_rows_number_from_zero_within_a_row(spark):
     assert rows_of(got) == [(0, 0, "a"), (0, 1, "b"), (1, 0, "a"), (1, 1, "b")]
 
 
-def test_files_follow_the_rows_only_when_they_must(spark):
-    assert enough_files(spark.range(100), rows_per_file=50) is None
-    assert enough_files(spark.range(1001), rows_per_file=100) == 11
+def test_tasks_follow_the_rows_once_they_exceed_the_usual(spark, skewed, tmp_path):
+    assert more_than_usual(spark, 4) is None and more_than_usual(spark, 5) == 5
+    assert by_partition(skewed, ["k"], rows_per_file=1_000).rdd.getNumPartitions() == 30
+    write_clustered(skewed, str(tmp_path / "t"), ["k"], ["id"], rows_per_file=3_000)
+    assert cluster_summary(read_table(spark, str(tmp_path / "t")), "k").first().files == 10
 
 
 def test_scratch_is_below_the_named_folder(spark):

@@ -16,7 +16,7 @@ from tidemark.operators.joins import (
 from tidemark.operators.merge import one_per_key, upsert
 from tidemark.operators.watermark import high_water_mark, is_newer
 from tidemark.sources.scratch import materialise
-from tidemark.sources.writers import ROWS_PER_FILE, publish_clustered, write_clustered
+from tidemark.sources.writers import publish_clustered, write_clustered
 
 
 class OutputCheckError(RuntimeError):
@@ -84,14 +84,6 @@ def new_version(table: str, root: str) -> str:
     return f"{root.rstrip('/')}/{table.replace('.', '_')}-{uuid.uuid4().hex}"
 
 
-def enough_files(rows_of: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> int | None:
-    """How many files a clustered write needs, or ``None`` while the session's own number
-    of shuffle partitions is enough (adaptive execution then packs them)."""
-    needed = -(-rows_of.count() // rows_per_file)
-    usual = int(rows_of.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return needed if needed > usual else None
-
-
 @dataclass(frozen=True)
 class BuildResult:
     table: str
@@ -137,7 +129,7 @@ def run_build(spark: SparkSession, table: str, fact: DataFrame, dimension: DataF
     previous = spark.table(table) if exists and not full else None
     result = refresh_output(fact, dimension, previous, spec, policy, retry, restate)
     path = new_version(table, root)
-    write_clustered(result, path, spec.cluster_by, [spec.key], files or enough_files(fact))
+    write_clustered(result, path, spec.cluster_by, [spec.key], files, rows=fact.count())
     if check:
         check_output(fact, dimension, spark.read.parquet(path), spec, check)
     publish_clustered(spark, table, path, spec.cluster_by)

@@ -19,7 +19,7 @@ from tidemark.config import OutputSpec, WatermarkPolicy
 from tidemark.operators.joins import BROADCAST_LIMIT, measure_side
 from tidemark.operators.merge import one_per_key, upsert
 from tidemark.plans.output import (
-    build_output, changed_rows, enough_files, new_version, run_build,
+    build_output, changed_rows, new_version, run_build,
 )
 from tidemark.sources.scratch import materialise
 from tidemark.sources.writers import publish_clustered, write_clustered
@@ -50,7 +50,8 @@ def _define_view(spark: SparkSession, view: str, spec: OutputSpec) -> None:
         SELECT {columns} FROM {_changes(view)}""")
 
 
-def _write(df: DataFrame, table: str, root: str, spec: OutputSpec, files: int | None) -> None:
+def _write(df: DataFrame, table: str, root: str, spec: OutputSpec,
+           files: int | None = None) -> None:
     path = new_version(table, root)
     write_clustered(df.select(*spec.columns), path, spec.cluster_by, [spec.key], files)
     publish_clustered(df.sparkSession, table, path, spec.cluster_by)
@@ -66,8 +67,7 @@ def _clear_changes(spark: SparkSession, view: str, root: str, spec: OutputSpec)
 def compact_overlay(spark: SparkSession, view: str, root: str,
                     spec: OutputSpec = OutputSpec(), files: int | None = None) -> None:
     """Fold the changes into a new clustered base."""
-    merged = spark.table(view)
-    _write(merged, _base(view), root, spec, files or enough_files(spark.table(_base(view))))
+    _write(spark.table(view), _base(view), root, spec, files)
     _clear_changes(spark, view, root, spec)
 
 
@@ -92,7 +92,7 @@ def refresh_overlay(spark: SparkSession, view: str, fact: DataFrame, dimension:
     if size.rows == 0:
         return OverlayResult(view, "changes", 0)
     current = upsert(spark.table(_changes(view)).select(*spec.columns), built, spec.key)
-    _write(current, _changes(view), root, spec, None)
+    _write(current, _changes(view), root, spec)
     # the view broadcasts the keys of all changes kept so far, so they have to stay small
     kept = measure_side(spark.table(_changes(view)).select(spec.key), [spec.key])
     if kept.bytes <= broadcast_limit:

@@ -7,14 +7,14 @@ from tidemark.sources.tables import (
     DEPARTMENT, EMPLOYEE, TableSpec, conform, read_table, row_range, value_rows,
 )
 from tidemark.sources.writers import (
-    append_rows, by_partition, by_range, create_or_replace, publish_clustered,
-    write_clustered, write_partitioned,
+    append_rows, by_partition, by_range, create_or_replace, more_than_usual,
+    publish_clustered, write_clustered, write_partitioned,
 )
 
 __all__ = [
     "DEPARTMENT", "EMPLOYEE", "TableSpec", "analyze", "append_rows", "by_partition",
     "by_range", "cluster_profile", "cluster_summary", "clustering_columns", "conform",
-    "create_or_replace", "materialise", "partition_columns", "publish_clustered",
+    "create_or_replace", "materialise", "more_than_usual", "partition_columns", "publish_clustered",
     "read_table", "row_range", "scratch_folder", "table_detail", "value_rows",
     "write_clustered", "write_partitioned",
 ]

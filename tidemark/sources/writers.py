@@ -17,6 +17,13 @@ from tidemark.sources.tables import TableSpec, conform
 ROWS_PER_FILE = 2_000_000
 
 
+def more_than_usual(spark: SparkSession, tasks: int) -> int | None:
+    """The number of tasks if it exceeds the session's shuffle partitions; otherwise
+    ``None``, and adaptive execution packs the usual number."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return tasks if tasks > usual else None
+
+
 def _spread(df: DataFrame) -> Column:
     """A number that scatters rows, and even copies of one row, as long as they come from
     different input partitions.  A retried task computes the same numbers again."""
@@ -34,19 +41,23 @@ def by_partition(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = ()
     to a single task; splitting tasks by size at run time would also cut up whatever small
     directories share its tasks.)  Sorting by the keys saves the writer its own sort.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    if (sizes.agg(F.max("n").alias("n")).first().n or 0) <= rows_per_file:
-        return df.repartition(*keys).sortWithinPartitions(*keys, *sort_by)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("n")).withColumn(
+        "files", F.ceil(F.col("n") / rows_per_file))
+    found = sizes.agg(F.max("files").alias("most"), F.sum("n").alias("rows")).first()
+    tasks = more_than_usual(df.sparkSession, -(-(found.rows or 0) // rows_per_file))
+    if (found.most or 0) <= 1:
+        together = df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
+        return together.sortWithinPartitions(*keys, *sort_by)
     slots, slot = "__slots", "__slot"
     # at most one row per partition directory
-    several = sizes.filter(F.col("n") > rows_per_file).select(
-        *[F.col(key).alias(f"__{key}") for key in keys],
-        F.ceil(F.col("n") / rows_per_file).alias(slots))
+    several = sizes.filter(F.col("files") > 1).select(
+        *[F.col(key).alias(f"__{key}") for key in keys], F.col("files").alias(slots))
     same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys])
     spread = df.join(F.broadcast(several), same, "left").withColumn(
         slot, F.pmod(_spread(df), F.coalesce(slots, F.lit(1))))
-    return (spread.repartition(*keys, slot).sortWithinPartitions(*keys, slot, *sort_by)
-            .select(df.columns))
+    together = (spread.repartition(tasks, *keys, slot) if tasks
+                else spread.repartition(*keys, slot))
+    return together.sortWithinPartitions(*keys, slot, *sort_by).select(df.columns)
 
 
 def by_range(df: DataFrame, keys: Sequence[str], tie: Sequence[str],
@@ -73,7 +84,15 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str],
 
 
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str], tie: Sequence[str],
-                    files: int | None = None) -> None:
+                    files: int | None = None, rows: int | None = None,
+                    rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write range-clustered files: as many as asked for, or as the rows need.
+
+    ``rows`` saves a count where their number is known.
+    """
+    if files is None:
+        rows = df.count() if rows is None else rows
+        files = more_than_usual(df.sparkSession, -(-rows // rows_per_file))
     by_range(df, keys, tie, files).write.parquet(path)
 
 

@@ -30,13 +30,14 @@ from tidemark.operators import (
 from tidemark.operators.joins import BROADCAST_LIMIT
 from tidemark.plans import (
     Expectations, allocate_ids, build_output, create_sources, generate_dimension,
-    generate_fact, land_batch, new_rows, quarantine, refresh_output, refresh_overlay, run_build, verify,
-    verify_layout,
+    generate_fact, land_batch, new_rows, quarantine, refresh_output, refresh_overlay,
+    run_build, verify, verify_layout,
 )
 from tidemark.sources import (
-    DEPARTMENT, EMPLOYEE, append_rows, by_partition, cluster_summary, create_or_replace, materialise,
+    EMPLOYEE, append_rows, by_partition, cluster_summary, materialise,
     read_table, scratch_folder, table_detail, write_clustered, write_partitioned,
 )
+from tidemark.sources.writers import ROWS_PER_FILE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -430,10 +431,11 @@ def layout_detail_query(spark, sf_dir):
 
 
 def cluster_profile_query(spark, sf_dir):
-    """Line items laid out by part in several files."""
-    path = scratch_folder(spark, "lineitem")
-    write_clustered(_table(spark, sf_dir, "lineitem"), path, ["l_partkey"],
-                    ["l_orderkey", "l_linenumber"], files=6)
+    """Line items laid out by part, in several files even when they are few."""
+    path, lines = scratch_folder(spark, "lineitem"), _table(spark, sf_dir, "lineitem")
+    rows = lines.count()
+    write_clustered(lines, path, ["l_partkey"], ["l_orderkey", "l_linenumber"],
+                    files=max(min(-(-rows // 10_000), 16), -(-rows // ROWS_PER_FILE), 1))
     return cluster_summary(read_table(spark, path), "l_partkey").select(
         "rows", "keys", "well_clustered")
 
