@@ -359,7 +359,7 @@ def gold_incremental_query(spark, sf_dir):
     path = scratch_folder(spark, "output")
     write_clustered(
         build_output(fact.filter(F.col("o_orderdate") < anchor(ORDERS_CUT)), customer, ORDERS),
-        path, ORDERS.cluster_by, [ORDERS.key])
+        path, ORDERS.cluster_by, [ORDERS.key], rows=_table(spark, sf_dir, "orders").count())
     return refresh_output(fact, customer, read_table(spark, path), ORDERS)
 
 
