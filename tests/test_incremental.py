@@ -32,6 +32,22 @@ def test_mark_keeps_its_value_in_any_zone(spark, zone, kind):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_mark_in_the_hour_clocks_are_set_back(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 05:30 and 06:30 UTC are both 01:30 on this day
+        df = spark.createDataFrame([(1, 1793511000), (2, 1793514600)], "id int, s bigint").select(
+            "id", F.timestamp_seconds("s").alias("ts"))
+        assert rows_of(df, F.col("ts").cast("string"))[0] == rows_of(
+            df, F.col("ts").cast("string"))[1]
+        assert rows_of(newer_than(df, "ts", high_water_mark(df, "ts")), "id") == []
+        first = high_water_mark(df.filter("id = 1"), "ts")
+        assert rows_of(newer_than(df, "ts", first), "id") == [(2,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_strict_drops_rows_at_the_mark_and_inclusive_keeps_them(spark):
     fact = fact_of(spark, BASE + [(4, "x", 0, 2), (5, "y", 0, 3)])
     mark = high_water_mark(fact_of(spark, BASE), "ts")

@@ -117,6 +117,11 @@ def test_table_detail_of_partitioned_and_clustered_tables(spark, database, skewe
     publish_clustered(spark, f"{database}.t", second, ["k"])
     assert spark.table(f"{database}.t").count() == 10
     assert clustering_columns(spark, f"{database}.t") == ["k"]
+    third = str(tmp_path / "v3")
+    write_clustered(skewed.limit(5).drop("text"), third, ["k"], ["id"], files=1)
+    publish_clustered(spark, f"{database}.t", third, ["k"])
+    assert spark.table(f"{database}.t").columns == ["id", "k", "b"]
+    assert spark.read.parquet(second).count() == 10
 
 
 def test_analyze_gives_the_optimiser_column_statistics(spark, database):

@@ -13,24 +13,28 @@ from tidemark.config import WatermarkPolicy
 
 @dataclass(frozen=True)
 class Watermark:
-    """A timestamp as text, with the type of the column it came from."""
+    """The largest value of a column, in a form no time zone can shift.
 
-    text: str
+    Timestamps with a zone travel as microseconds since the epoch (their text is ambiguous
+    in the hour clocks are set back), everything else as text.
+    """
+
+    value: str | int
     data_type: T.DataType
 
     def literal(self) -> Column:
-        return F.lit(self.text).cast(self.data_type)
+        if isinstance(self.data_type, T.TimestampType):
+            return F.timestamp_micros(F.lit(self.value).cast("bigint"))
+        return F.lit(self.value).cast(self.data_type)
 
 
 def high_water_mark(target: DataFrame, column: str) -> Watermark | None:
-    """Largest value in the target; ``None`` when it holds none.
-
-    One row reaches the driver.  It travels as text, so neither the driver's zone nor the
-    session's can shift it.
-    """
+    """Largest value in the target; ``None`` when it holds none.  One row reaches the driver."""
     data_type = target.schema[column].dataType
-    top = target.agg(F.max(column).cast("string").alias("top")).first().top
-    return None if top is None else Watermark(top, data_type)
+    top = F.max(column)
+    top = F.unix_micros(top) if isinstance(data_type, T.TimestampType) else top.cast("string")
+    value = target.agg(top.alias("top")).first().top
+    return None if value is None else Watermark(value, data_type)
 
 
 def is_newer(column: str, mark: Watermark, policy: WatermarkPolicy = WatermarkPolicy()) -> Column:

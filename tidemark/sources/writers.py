@@ -131,13 +131,15 @@ def publish_clustered(spark: SparkSession, table: str, path: str, keys: Sequence
     The swing is one catalog change: readers see the old files or the new ones, and the
     old folder stays readable for queries that are still running on it.
     """
+    columns = spark.read.parquet(path).schema
+    if spark.catalog.tableExists(table) and spark.table(table).schema.names != columns.names:
+        spark.sql(f"DROP TABLE {table}")  # other columns than before; its files stay
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
     else:
-        columns = spark.read.parquet(path).schema.toDDL()
         clause = f"COMMENT {_quoted(comment)}" if comment else ""
         spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet "
+            f"CREATE TABLE {table} ({columns.toDDL()}) USING parquet "
             f"CLUSTER BY ({', '.join(keys)}) {clause} LOCATION {_quoted(path)}"
         )
     spark.catalog.refreshTable(table)
