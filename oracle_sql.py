@@ -261,6 +261,7 @@ def _verify() -> str:
         ("dimension_key_not_null", "'0'", "'0'", "true"),
         ("fact_join_key_not_null", "'0'", "'0'", "true"),
         ("fact_orphan_rows", "'0'", "'0'", "true"),
+        ("fact_watermark_not_null", "'0'", "'0'", "true"),
         ("fact_rows", "(SELECT CAST(count(*) AS VARCHAR) FROM orders)",
          f"CAST({rows} AS VARCHAR)", "true"),
         ("fact_partitions", f"'{N * BUCKETS}'",
@@ -391,6 +392,25 @@ FROM (SELECT department_number, count(*) AS employees, (SELECT count(*) FROM eve
 ORDER BY employees DESC, department_number LIMIT 10""",
         "watermark_profile": "SELECT min(ts) AS earliest, max(ts) AS latest, "
                              "count(DISTINCT CAST(ts AS DATE)) AS distinct_days FROM events",
+        "employee_partition_profile": f"""
+WITH {SOURCES}
+SELECT count(*) AS partitions, CAST(sum(rows) AS BIGINT) AS total_rows,
+       CAST(trunc(avg(rows)) AS INTEGER) AS avg_rows_per_partition,
+       min(rows) AS min_rows, max(rows) AS max_rows, trunc(avg(rows)) < 50 AS thin,
+       CAST({N * BUCKETS} AS BIGINT) AS expected_partitions
+FROM (SELECT department_number, employee_id_bucket, count(*) AS rows FROM employee GROUP BY ALL)""",
+        "employee_skew_profile": f"""
+WITH {SOURCES}
+SELECT department_number, department_name, employees,
+       {PERCENT.format(part='employees', whole='total')} AS pct_of_total
+FROM (SELECT department_number, department_name, count(*) AS employees,
+             (SELECT count(*) FROM employee) AS total
+      FROM employee GROUP BY department_number, department_name)
+ORDER BY employees DESC, department_number, department_name LIMIT 10""",
+        "employee_watermark_profile": f"""
+WITH {SOURCES}
+SELECT min(updated_at) AS earliest, max(updated_at) AS latest,
+       count(DISTINCT CAST(updated_at AS DATE)) AS distinct_days FROM employee""",
         "column_stats": _stats("orders", ("o_orderkey", "o_custkey", "o_orderstatus",
                                           "o_totalprice", "o_orderdate", "o_orderpriority")),
         "watermark_delta": f"""

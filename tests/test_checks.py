@@ -130,7 +130,7 @@ def test_good_tables_pass_every_check(generated):
     fact, dimension, output = generated
     report = verify(fact, dimension, output, expected=EXPECTED)
     assert report.columns == ["check", "expected", "actual", "passed"]
-    assert _failed(report) == set() and report.count() == 17
+    assert _failed(report) == set() and report.count() == 18
 
 
 def test_verify_without_an_output(generated):
@@ -160,6 +160,10 @@ def test_verify_names_what_is_wrong_with_the_sources(generated):
         "dimension_rows", "fact_orphan_rows"}
     flat = fact.withColumn("updated_at", F.lit("2026-08-01 00:00:00").cast("timestamp_ntz"))
     assert _failed(verify(flat, dimension, output, expected=EXPECTED)) == {"fact_distinct_days"}
+    unmarked = fact.withColumn(
+        "updated_at", F.when(F.col("employee_id") > 100_001, F.col("updated_at")))
+    assert _failed(verify(unmarked, dimension, output, expected=EXPECTED)) == {
+        "fact_watermark_not_null"}
     even = fact.withColumn("department_number", F.lit(4))
     assert _failed(verify(even, dimension, output, expected=EXPECTED)) == {
         "fact_partitions", "fact_hot_share_pct"}

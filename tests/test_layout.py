@@ -79,8 +79,10 @@ def test_clustered_write_splits_a_hot_key_and_skips_files(spark, skewed, tmp_pat
     summary = cluster_summary(table, "k").first()
     assert summary.well_clustered and summary.files == 6 and summary.rows == 30_000
     assert summary.max_files_per_key >= 2  # the hot key spans several files
+    assert summary.max_rows_per_file < 30_000 / 3  # and none holds all of it
     files = cluster_profile(table, "k").collect()
-    assert max(f.rows for f in files) < 30_000 / 3  # and none holds all of it
+    assert sum(f.rows for f in files) == 30_000
+    assert max(f.rows for f in files) == summary.max_rows_per_file
 
 
 def test_copies_of_one_row_do_not_end_in_one_task(spark, tmp_path):
@@ -93,6 +95,13 @@ def test_copies_of_one_row_do_not_end_in_one_task(spark, tmp_path):
     assert len(list((tmp_path / "p" / "k=1").glob("*.parquet"))) > 2
 
 
+def test_cluster_summary_scans_once(spark, skewed, tmp_path):
+    skewed.write.parquet(str(tmp_path / "t"))
+    summary = cluster_summary(read_table(spark, str(tmp_path / "t")), "k")
+    summary.collect()
+    assert "ReusedExchange" in plan_of(summary)
+
+
 def test_scattered_rows_are_not_well_clustered(spark, skewed, tmp_path):
     path = str(tmp_path / "t")
     skewed.repartition(6).write.parquet(path)

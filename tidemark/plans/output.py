@@ -14,7 +14,7 @@ from tidemark.operators.joins import (
     BROADCAST_LIMIT, filtering_join, many_to_one_join, unmatched_rows,
 )
 from tidemark.operators.merge import one_per_key, upsert
-from tidemark.operators.watermark import high_water_mark, is_newer
+from tidemark.operators.watermark import Watermark, high_water_mark, is_newer
 from tidemark.sources.scratch import materialise
 from tidemark.sources.writers import publish_clustered, write_clustered
 
@@ -32,25 +32,22 @@ def build_output(fact: DataFrame, dimension: DataFrame, spec: OutputSpec = Outpu
     return joined.select(*spec.columns)
 
 
-def changed_rows(fact: DataFrame, previous: DataFrame, spec: OutputSpec = OutputSpec(),
+def changed_rows(fact: DataFrame, mark: Watermark, spec: OutputSpec = OutputSpec(),
                  policy: WatermarkPolicy = WatermarkPolicy(),
-                 retry: DataFrame | None = None) -> DataFrame | None:
-    """Fact rows beyond the high-water mark of the previous output, before any join.
+                 retry: DataFrame | None = None) -> DataFrame:
+    """Fact rows beyond the high-water mark, filtered before any join; the latest per key.
 
     ``retry`` holds keys that failed to join earlier (the quarantine): they are read again
-    although the mark has passed them.  ``None`` means that the previous output is empty
-    and everything has to be loaded.
+    although the mark has passed them.  The rows are written to scratch once, so the size
+    checks, the join and the merge that follow read them there and not in the fact.
     """
-    mark = high_water_mark(previous, spec.watermark)
-    if mark is None:
-        return None
     rows = fact.select(*spec.fact_columns)
     newer = is_newer(spec.watermark, mark, policy)
     changed = rows.filter(newer)
     if retry is not None:
         older = rows.filter(~F.coalesce(newer, F.lit(False)))
         changed = changed.unionByName(filtering_join(older, retry, spec.key, "left_semi"))
-    return changed
+    return materialise(one_per_key(changed, spec.key, [spec.watermark]), "changed")
 
 
 def refresh_output(fact: DataFrame, dimension: DataFrame, previous: DataFrame | None,
@@ -64,11 +61,10 @@ def refresh_output(fact: DataFrame, dimension: DataFrame, previous: DataFrame |
     key.  ``restate`` also renews the dimension columns of all other rows; changes of the
     dimension alone carry no mark and would go unnoticed.
     """
-    changed = None if previous is None else changed_rows(fact, previous, spec, policy, retry)
-    if changed is None:
+    mark = None if previous is None else high_water_mark(previous, spec.watermark)
+    if mark is None:
         return build_output(fact, dimension, spec)
-    # written once: the size checks, the join and the merge below read it, not the fact
-    changed = materialise(one_per_key(changed, spec.key, [spec.watermark]), "changed")
+    changed = changed_rows(fact, mark, spec, policy, retry)
     if restate:
         merged = upsert(previous.select(*spec.fact_columns), changed, spec.key)
         return build_output(merged, dimension, spec)

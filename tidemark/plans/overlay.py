@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.config import OutputSpec, WatermarkPolicy
 from tidemark.operators.joins import BROADCAST_LIMIT, measure_side
-from tidemark.operators.merge import one_per_key, upsert
+from tidemark.operators.merge import upsert
+from tidemark.operators.watermark import high_water_mark
 from tidemark.plans.output import (
     build_output, changed_rows, new_version, run_build,
 )
@@ -82,11 +83,14 @@ def refresh_overlay(spark: SparkSession, view: str, fact: DataFrame, dimension:
         _clear_changes(spark, view, root, spec)
         _define_view(spark, view, spec)
         return OverlayResult(view, "full", 0)
-    changed = changed_rows(fact, spark.table(view), spec, policy, retry)
-    if changed is None:  # the base is empty
+    # The rows of the changes table came after the base's mark, so theirs is the later one;
+    # the base is read for it only while there are no changes yet.
+    mark = (high_water_mark(spark.table(_changes(view)), spec.watermark)
+            or high_water_mark(spark.table(_base(view)), spec.watermark))
+    if mark is None:  # the base is empty
         run_build(spark, _base(view), fact, dimension, root, spec, full=True)
         return OverlayResult(view, "full", 0)
-    changed = materialise(one_per_key(changed, spec.key, [spec.watermark]), "changed")
+    changed = changed_rows(fact, mark, spec, policy, retry)
     built = materialise(build_output(changed, dimension, spec), "built")
     size = measure_side(built.select(spec.key), [spec.key])
     if size.rows == 0:

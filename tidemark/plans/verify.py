@@ -93,12 +93,14 @@ def _fact_report(fact: DataFrame, dimension: DataFrame, spec: OutputSpec,
     The scan is reduced to one row per (partition, join key) first; everything else works
     on those few rows.
     """
-    groups = fact.groupBy(*partition_by, spec.join_key).agg(F.count("*").alias("n"))
+    groups = fact.groupBy(*partition_by, spec.join_key).agg(
+        F.count("*").alias("n"), F.count_if(F.col(spec.watermark).isNull()).alias("unmarked"))
     known = dimension.select(spec.join_key, F.lit(True).alias("known")).distinct()
     per_partition = groups.join(known, spec.join_key, "left").groupBy(*partition_by).agg(
         F.sum("n").alias("n"),
         F.sum(F.when(F.col(spec.join_key).isNull(), F.col("n")).otherwise(0)).alias("nulls"),
         F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("orphans"),
+        F.sum("unmarked").alias("unmarked"),
     )
     hot = F.when(F.col(partition_by[0]).between(1, expected.hot_keys), F.col("n")).otherwise(0)
     measured = per_partition.agg(
@@ -107,11 +109,13 @@ def _fact_report(fact: DataFrame, dimension: DataFrame, spec: OutputSpec,
         F.avg("n").cast("bigint").alias("per_partition"),
         F.coalesce(F.sum("nulls"), F.lit(0)).alias("nulls"),
         F.coalesce(F.sum("orphans"), F.lit(0)).alias("orphans"),
+        F.coalesce(F.sum("unmarked"), F.lit(0)).alias("unmarked"),
         F.round(F.expr("100.0") * F.sum(hot) / F.sum("n"), 2).alias("hot"),
     )
     checks = [
         _equals("fact_join_key_not_null", "nulls", 0),
         _equals("fact_orphan_rows", "orphans", 0),
+        _equals("fact_watermark_not_null", "unmarked", 0),  # a refresh never sees such a row
     ]
     if expected.fact_rows is not None:
         checks.append(_equals("fact_rows", "rows", expected.fact_rows))

@@ -84,10 +84,12 @@ def cluster_summary(df: DataFrame, key: str) -> DataFrame:
     (file, key) pairs number at most ``keys + files - 1``; ``well_clustered`` tests that.
     """
     pairs = files_by_key(df, key)
+    per_file = pairs.groupBy("file").agg(F.sum("n").alias("n"))
+    files = per_file.agg(F.struct(
+        F.count("*").alias("files"), F.max("n").alias("max_rows_per_file"))).scalar()
     per_key = pairs.groupBy(key).agg(F.count("*").alias("files_of_key"), F.sum("n").alias("n"))
     keys = per_key.agg(
         F.count("*").alias("keys"), F.sum("files_of_key").alias("pairs"),
         F.max("files_of_key").alias("max_files_per_key"), F.sum("n").alias("rows"))
-    files = pairs.agg(F.countDistinct("file").alias("files")).scalar()
-    return keys.withColumn("files", files).withColumn(
+    return keys.withColumn("file", files).select("*", "file.*").drop("file").withColumn(
         "well_clustered", F.col("pairs") <= F.col("keys") + F.col("files") - 1)

@@ -250,6 +250,20 @@ def column_stats_query(spark, sf_dir):
     return column_stats(_table(spark, sf_dir, "orders"), distinct="exact")
 
 
+def employee_partition_profile_query(spark, sf_dir):
+    fact, _ = _employees(spark, sf_dir)
+    return partition_profile(fact, EMPLOYEE.partition_by, CONFIG.departments * CONFIG.buckets)
+
+
+def employee_skew_profile_query(spark, sf_dir):
+    fact, _ = _employees(spark, sf_dir)
+    return skew_profile(fact, ["department_number", "department_name"], 10, "employees")
+
+
+def employee_watermark_profile_query(spark, sf_dir):
+    return watermark_profile(_employees(spark, sf_dir)[0], "updated_at")
+
+
 # --- high-water mark and samples ----------------------------------------------------
 
 def _older_events(spark, sf_dir) -> DataFrame:
@@ -476,6 +490,9 @@ def queries() -> dict[str, Query]:
         "partition_profile": partition_profile_query,
         "skew_profile": skew_profile_query,
         "watermark_profile": watermark_profile_query,
+        "employee_partition_profile": employee_partition_profile_query,
+        "employee_skew_profile": employee_skew_profile_query,
+        "employee_watermark_profile": employee_watermark_profile_query,
         "column_stats": column_stats_query,
         "watermark_delta": watermark_delta_query,
         "watermark_inclusive": watermark_inclusive_query,
