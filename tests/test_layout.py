@@ -158,6 +158,25 @@ def test_scratch_is_below_the_named_folder(spark):
     assert one != two and one.startswith(root + "/x-")
 
 
+class _Session:
+    """As much of a session as the scratch folder looks at."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, name, default=None):
+        return self.settings.get(name.replace(".", "_"), default)
+
+
+def test_only_a_local_session_may_do_without_the_setting():
+    assert "tidemark-" in scratch_folder(_Session(spark_master="local[4]"), "x")
+    with pytest.raises(RuntimeError):
+        scratch_folder(_Session(spark_master="yarn"), "x")
+    shared = _Session(spark_master="yarn", spark_checkpoint_dir="hdfs://shared/c/")
+    assert scratch_folder(shared, "x").startswith("hdfs://shared/c/x-")
+
+
 def test_materialise_cuts_lineage(spark):
     df = spark.range(10).selectExpr("id", "CAST(id AS int) AS n")
     got = materialise(df, "m")

@@ -83,8 +83,9 @@ def refresh_overlay(spark: SparkSession, view: str, fact: DataFrame, dimension:
         _clear_changes(spark, view, root, spec)
         _define_view(spark, view, spec)
         return OverlayResult(view, "full", 0)
-    # The rows of the changes table came after the base's mark, so theirs is the later one;
-    # the base is read for it only while there are no changes yet.
+    # Changes were taken from beyond the base's mark, so theirs is the later one and the base
+    # is read for it only while there are none.  (Were it the lower one, because all changes
+    # are retried rows, some rows would be merged a second time, to the same result.)
     mark = (high_water_mark(spark.table(_changes(view)), spec.watermark)
             or high_water_mark(spark.table(_base(view)), spec.watermark))
     if mark is None:  # the base is empty
