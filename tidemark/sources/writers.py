@@ -3,25 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.tables import TableSpec, conform
 
-# About this many rows go into a file (100 to 200 MB as a rule) before a directory gets another
-# one; one task sorts and writes that much at any size of the table.
+# A task sorts and writes about this many rows (100 to 200 MB as a rule) at any size of the
+# table, until that would take more tasks than a shuffle bears; they grow from there on.
 ROWS_PER_FILE = 2_000_000
+MAX_TASKS = 100_000
 
+# Groups of rows are placed one by one while there are no more than this many of them and
+# their keys, which are broadcast, stay this small.
+MAX_GROUPS = 50_000
+MAX_GROUP_BYTES = 32 * 1024 * 1024
 
-def more_than_usual(spark: SparkSession, tasks: int) -> int | None:
-    """The number of tasks if it exceeds the session's shuffle partitions; otherwise
-    ``None``, and adaptive execution packs the usual number."""
-    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return tasks if tasks > usual else None
+SMALLEST_FILE = 100_000
 
 
 def _spread(df: DataFrame) -> Column:
@@ -31,50 +33,123 @@ def _spread(df: DataFrame) -> Column:
     return F.xxhash64(F.spark_partition_id(), *hashable)
 
 
+def _usual_tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _rows_per_task(spark: SparkSession, rows: int, most: int, least: int) -> int:
+    """As many tasks as the session usually takes, of ``least`` to ``most`` rows each."""
+    even = -(-rows // _usual_tasks(spark))
+    return max(min(max(even, least), most), -(-rows // MAX_TASKS), 1)
+
+
+@dataclass(frozen=True)
+class Groups:
+    """How many rows there are, and how many per key in key order; the latter only while
+    the keys are few enough to place singly."""
+
+    rows: int
+    sizes: Sequence[Row] | None
+
+
+def count_groups(df: DataFrame, keys: Sequence[str]) -> Groups:
+    """Count rows per key, reading the key columns only."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
+    found = counts.limit(MAX_GROUPS + 1).collect()
+    width = sum(len(str(value)) for row in found for value in row)
+    if len(found) > MAX_GROUPS or width > MAX_GROUP_BYTES:
+        return Groups(counts.agg(F.sum("__rows")).first()[0], None)
+    order = df.sparkSession.createDataFrame(found, counts.schema).orderBy(*keys)
+    return Groups(sum(row["__rows"] for row in found), order.collect())
+
+
+def count_few_groups(df: DataFrame, keys: Sequence[str]) -> Groups:
+    """The same for keys that may well be many: an estimate, which shuffles nothing, rules
+    those out before their values are brought together in vain."""
+    seen = df.agg(F.approx_count_distinct(F.struct(*keys)).alias("keys"),
+                  F.count("*").alias("rows")).first()
+    return Groups(seen["rows"], None) if seen["keys"] > MAX_GROUPS else count_groups(df, keys)
+
+
+def _place(sizes: Sequence[Row], rows_per_task: int, rows_per_file: int) -> tuple[list, int]:
+    """Tasks for groups in their order: small neighbours share one, a group that exceeds a
+    file gets several of its own.  Returns (key..., first task, number of tasks) and how
+    many tasks there are."""
+    placed, task, filled = [], 0, 0
+    for *key, rows in sizes:
+        several = -(-rows // rows_per_file)
+        if filled and (several > 1 or filled + rows > rows_per_task):
+            task, filled = task + 1, 0
+        placed.append((*key, task, several))
+        if several > 1:
+            task += several
+        else:
+            filled += rows
+    return placed, task + (1 if filled else 0)
+
+
+def grouped(df: DataFrame, keys: Sequence[str], groups: Groups, rows_per_file: int,
+            least: int) -> DataFrame:
+    """Shuffle rows so that each group lies in one task, or in several if it is that large.
+
+    Groups get their tasks by number: in key order, evenly filled, without sampling the
+    rows and without leaving to chance which groups meet.
+    """
+    spark = df.sparkSession
+    per_file = max(rows_per_file, -(-groups.rows // MAX_TASKS))
+    per_task = _rows_per_task(spark, groups.rows, per_file, least)
+    placed, tasks = _place(groups.sizes, per_task, per_file)
+    if tasks <= 1:
+        return df.repartition(1)
+    schema = T.StructType(
+        [T.StructField(f"__{key}", df.schema[key].dataType) for key in keys]
+        + [T.StructField("__first", T.IntegerType()), T.StructField("__several", T.LongType())])
+    places = F.broadcast(spark.createDataFrame(placed, schema))
+    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys])
+    task = F.col("__first")
+    if any(several > 1 for *_, several in placed):
+        task = task + F.when(
+            F.col("__several") > 1, F.pmod(_spread(df), F.col("__several")).cast("int")).otherwise(0)
+    return (df.join(places, same, "left").withColumn("__task", task)
+            .repartitionById(tasks, "__task").select(df.columns))
+
+
 def by_partition(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = (),
                  rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Bring the rows of one partition directory together, however large it is.
 
-    Directories are counted first.  One that needs several files has its rows spread over
-    that many slots, so a hot directory is written by many tasks and a small one still
-    gets a single file.  (A plain ``repartition(keys)`` sends the hot one
-    to a single task; splitting tasks by size at run time would also cut up whatever small
-    directories share its tasks.)  Sorting by the keys saves the writer its own sort.
+    A hot directory is written by many tasks and a small one gets a single file.  (A plain
+    ``repartition(keys)`` sends the hot one to a single task; splitting tasks by size at
+    run time would also cut up whatever small directories share its tasks.)  Sorting by
+    the keys saves the writer its own sort.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n")).withColumn(
-        "files", F.ceil(F.col("n") / rows_per_file))
-    found = sizes.agg(F.max("files").alias("most"), F.sum("n").alias("rows")).first()
-    tasks = more_than_usual(df.sparkSession, -(-(found.rows or 0) // rows_per_file))
-    if (found.most or 0) <= 1:
-        together = df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
-        return together.sortWithinPartitions(*keys, *sort_by)
-    slots, slot = "__slots", "__slot"
-    # at most one row per partition directory
-    several = sizes.filter(F.col("files") > 1).select(
-        *[F.col(key).alias(f"__{key}") for key in keys], F.col("files").alias(slots))
-    same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys])
-    spread = df.join(F.broadcast(several), same, "left").withColumn(
-        slot, F.pmod(_spread(df), F.coalesce(slots, F.lit(1))))
-    together = (spread.repartition(tasks, *keys, slot) if tasks
-                else spread.repartition(*keys, slot))
-    return together.sortWithinPartitions(*keys, slot, *sort_by).select(df.columns)
+    groups = count_groups(df, keys)
+    together = (df.repartition(*keys) if groups.sizes is None
+                else grouped(df, keys, groups, rows_per_file, least=1))
+    return together.sortWithinPartitions(*keys, *sort_by)
 
 
 def by_range(df: DataFrame, keys: Sequence[str], tie: Sequence[str],
-             files: int | None = None) -> DataFrame:
+             files: int | None = None, rows_per_file: int = ROWS_PER_FILE,
+             smallest_file: int = SMALLEST_FILE) -> DataFrame:
     """Order rows over files by the read keys, so min/max statistics skip files.
 
-    The range bounds include the tie columns (a unique id) and a scattered number: a key
-    that holds a third of the rows, and even a row that occurs that often, is cut into as
-    many files as its size asks for.  Without ``files`` the number follows
-    ``spark.sql.shuffle.partitions`` and adaptive coalescing.
+    With few distinct keys each gets its place in key order (``grouped``).  With many, or
+    when a number of files is asked for, Spark ranges over samples of the rows; the bounds
+    then include the tie columns (a unique id) and a scattered number.  Either way a key
+    that holds a third of the rows is cut into as many files as its size asks for.
     """
     order = [*keys, *[column for column in tie if column not in keys]]
-    scattered = df.withColumn("__scattered", _spread(df))
-    bounds = [F.col(column) for column in (*order, "__scattered")]
-    ranged = (scattered.repartitionByRange(files, *bounds) if files
-              else scattered.repartitionByRange(*bounds))
-    return ranged.sortWithinPartitions(*order).select(df.columns)
+    least = min(smallest_file, rows_per_file)
+    groups = Groups(0, None) if files else count_few_groups(df, keys)
+    if groups.sizes is not None:
+        together = grouped(df, keys, groups, rows_per_file, least)
+    else:
+        files = files or -(-groups.rows // _rows_per_task(
+            df.sparkSession, groups.rows, rows_per_file, least))
+        together = df.withColumn("__scattered", _spread(df)).repartitionByRange(
+            files, *order, "__scattered")
+    return together.sortWithinPartitions(*order).select(df.columns)
 
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str],
@@ -84,16 +159,9 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str],
 
 
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str], tie: Sequence[str],
-                    files: int | None = None, rows: int | None = None,
-                    rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Write range-clustered files: as many as asked for, or as the rows need.
-
-    ``rows`` saves a count where their number is known.
-    """
-    if files is None:
-        rows = df.count() if rows is None else rows
-        files = more_than_usual(df.sparkSession, -(-rows // rows_per_file))
-    by_range(df, keys, tie, files).write.parquet(path)
+                    files: int | None = None, rows_per_file: int = ROWS_PER_FILE,
+                    smallest_file: int = SMALLEST_FILE) -> None:
+    by_range(df, keys, tie, files, rows_per_file, smallest_file).write.parquet(path)
 
 
 def _quoted(text: str) -> str:

@@ -37,7 +37,6 @@ from tidemark.sources import (
     EMPLOYEE, append_rows, by_partition, cluster_summary, materialise,
     read_table, scratch_folder, table_detail, write_clustered, write_partitioned,
 )
-from tidemark.sources.writers import ROWS_PER_FILE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -373,7 +372,7 @@ def gold_incremental_query(spark, sf_dir):
     path = scratch_folder(spark, "output")
     write_clustered(
         build_output(fact.filter(F.col("o_orderdate") < anchor(ORDERS_CUT)), customer, ORDERS),
-        path, ORDERS.cluster_by, [ORDERS.key], rows=_table(spark, sf_dir, "orders").count())
+        path, ORDERS.cluster_by, [ORDERS.key])
     return refresh_output(fact, customer, read_table(spark, path), ORDERS)
 
 
@@ -446,10 +445,9 @@ def layout_detail_query(spark, sf_dir):
 
 def cluster_profile_query(spark, sf_dir):
     """Line items laid out by part, in several files even when they are few."""
-    path, lines = scratch_folder(spark, "lineitem"), _table(spark, sf_dir, "lineitem")
-    rows = lines.count()
-    write_clustered(lines, path, ["l_partkey"], ["l_orderkey", "l_linenumber"],
-                    files=max(min(-(-rows // 10_000), 16), -(-rows // ROWS_PER_FILE), 1))
+    path = scratch_folder(spark, "lineitem")
+    write_clustered(_table(spark, sf_dir, "lineitem"), path, ["l_partkey"],
+                    ["l_orderkey", "l_linenumber"], smallest_file=10_000)
     return cluster_summary(read_table(spark, path), "l_partkey").select(
         "rows", "keys", "well_clustered")
 
