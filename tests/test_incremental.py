@@ -235,6 +235,26 @@ def test_overlay_compacts_when_changes_outgrow_a_broadcast(spark, database, tmp_
         spark, view, spark.table(employee), dimension, root, broadcast_limit=100)
     assert result.mode == "compacted"
     assert spark.table(f"{view}_base").count() == SMALL.employees + 20
+    assert spark.table(f"{view}_changes").count() == 0
+    assert rows_of(spark.table(view)) == rows_of(build_output(spark.table(employee), dimension))
+
+
+def test_overlay_heals_after_a_fold_that_stopped_half_way(
+        spark, database, tmp_path, monkeypatch):
+    employee, department, dimension = _sources(spark, database)
+    view, root = f"{database}.output", str(tmp_path / "versions")
+    refresh_overlay(spark, view, spark.table(employee), dimension, root)
+    land_batch(spark, employee, department, SMALL, BATCHES[0])
+    refresh_overlay(spark, view, spark.table(employee), dimension, root)
+    land_batch(spark, employee, department, SMALL, BATCHES[1])
+    with monkeypatch.context() as patch:
+        patch.setattr("tidemark.plans.overlay._clear_changes", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh_overlay(
+                spark, view, spark.table(employee), dimension, root, broadcast_limit=100)
+    keys = rows_of(spark.table(employee), "employee_id")
+    assert rows_of(spark.table(view), "employee_id") == keys  # each once, none lost
+    refresh_overlay(spark, view, spark.table(employee), dimension, root)
     assert rows_of(spark.table(view)) == rows_of(build_output(spark.table(employee), dimension))
 
 

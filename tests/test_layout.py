@@ -60,7 +60,7 @@ def test_groups_are_placed_in_order_and_evenly():
 def test_many_groups_fall_back_to_the_session_and_to_ranges(spark, skewed, tmp_path, monkeypatch):
     monkeypatch.setattr("tidemark.sources.writers.MAX_GROUPS", 5)
     assert count_groups(skewed, ["k"]).sizes is None
-    assert "REPARTITION_BY_COL" in plan_of(by_partition(skewed, ["k"]))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(by_partition(skewed, ["k"]))
     write_clustered(skewed, str(tmp_path / "t"), ["k"], ["id"], rows_per_file=5_000)
     summary = cluster_summary(read_table(spark, str(tmp_path / "t")), "k").first()
     assert summary.well_clustered and summary.files == 6 and summary.rows == 30_000

@@ -115,7 +115,7 @@ def test_moves_without_a_match_touch_nothing(spark, database):
 
 def test_moves_handle_null_and_text_partitions(spark, database):
     table = f"{database}.t"
-    rows = [(1, None), (2, "it's"), (3, "c")]
+    rows = [(1, None), (2, "it's a \\ here"), (3, "c")]
     spark.createDataFrame(rows, "id bigint, p string").write.partitionBy("p").saveAsTable(table)
     updates = spark.createDataFrame([(1, "c"), (2, None)], "id bigint, np string")
     move_partitions(spark, table, updates, "id", {"p": "np"}, ["p"])

@@ -10,14 +10,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import (
     BROADCAST_LIMIT, FanOutError, many_to_one_join, measure_side, split_join,
 )
 from tidemark.sources.scratch import materialise
-from tidemark.sources.writers import by_partition
+from tidemark.sources.writers import by_partition, quoted
 
 
 def latest_per_key(batch: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
@@ -117,13 +117,10 @@ def _dynamic_overwrite(spark: SparkSession):
             spark.conf.set(name, before)
 
 
-def _literal_spec(row) -> str:
-    def literal(value):
-        if value is None:
-            return "NULL"
-        text = str(value)
-        return text if isinstance(value, int) else "'" + text.replace("'", "\\'") + "'"
-    return ", ".join(f"`{name}` = {literal(value)}" for name, value in row.asDict().items())
+def _partition_spec(row: Row) -> str:
+    values = {name: "NULL" if value is None else str(value) if isinstance(value, int)
+              else quoted(str(value)) for name, value in row.asDict().items()}
+    return ", ".join(f"`{name}` = {value}" for name, value in values.items())
 
 
 def move_partitions(spark: SparkSession, table: str, updates: DataFrame, key: str,
@@ -155,6 +152,6 @@ def move_partitions(spark: SparkSession, table: str, updates: DataFrame, key: st
     filled = {tuple(r) for r in rewritten.select(*partition_by).distinct().collect()}
     for row in touched:
         if tuple(row) not in filled:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_literal_spec(row)})")
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_spec(row)})")
     spark.catalog.refreshTable(table)
     return len(touched)

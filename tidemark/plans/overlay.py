@@ -3,10 +3,11 @@
 ``run_build`` writes a whole new version, which is right but costs a full write however
 little changed.  Here the clustered base stays as it is; current versions of changed rows
 are kept in a small table of their own, and readers use a view that prefers them.  The
-changes are folded into a new base once their keys no longer fit a broadcast.
+changes are folded into a new base before their keys outgrow a broadcast.
 
-Every step leaves the view right: changed rows replace base rows by key, so it does not
-matter if the base already contains them.
+Changed rows replace base rows by key, so it does not matter if the base already contains
+them: at every step the view shows each key once.  Between the two steps of a fold it may
+still show a row as it was before the refresh.
 """
 
 from __future__ import annotations
@@ -65,11 +66,17 @@ def _clear_changes(spark: SparkSession, view: str, root: str, spec: OutputSpec)
     publish_clustered(spark, _changes(view), path, spec.cluster_by)
 
 
+def _fold(spark: SparkSession, view: str, changes: DataFrame, root: str, spec: OutputSpec,
+          files: int | None = None) -> None:
+    base = spark.table(_base(view)).select(*spec.columns)
+    _write(upsert(base, changes, spec.key), _base(view), root, spec, files)
+    _clear_changes(spark, view, root, spec)
+
+
 def compact_overlay(spark: SparkSession, view: str, root: str,
                     spec: OutputSpec = OutputSpec(), files: int | None = None) -> None:
     """Fold the changes into a new clustered base."""
-    _write(spark.table(view), _base(view), root, spec, files)
-    _clear_changes(spark, view, root, spec)
+    _fold(spark, view, spark.table(_changes(view)).select(*spec.columns), root, spec, files)
 
 
 def refresh_overlay(spark: SparkSession, view: str, fact: DataFrame, dimension: DataFrame,
@@ -93,14 +100,13 @@ def refresh_overlay(spark: SparkSession, view: str, fact: DataFrame, dimension:
         return OverlayResult(view, "full", 0)
     changed = changed_rows(fact, mark, spec, policy, retry)
     built = materialise(build_output(changed, dimension, spec), "built")
-    size = measure_side(built.select(spec.key), [spec.key])
-    if size.rows == 0:
+    arrived = built.count()
+    if arrived == 0:
         return OverlayResult(view, "changes", 0)
     current = upsert(spark.table(_changes(view)).select(*spec.columns), built, spec.key)
+    # the view broadcasts the keys of all changes it keeps, so they have to stay small
+    if measure_side(current.select(spec.key), [spec.key]).bytes > broadcast_limit:
+        _fold(spark, view, current, root, spec)
+        return OverlayResult(view, "compacted", arrived)
     _write(current, _changes(view), root, spec)
-    # the view broadcasts the keys of all changes kept so far, so they have to stay small
-    kept = measure_side(spark.table(_changes(view)).select(spec.key), [spec.key])
-    if kept.bytes <= broadcast_limit:
-        return OverlayResult(view, "changes", size.rows)
-    compact_overlay(spark, view, root, spec)
-    return OverlayResult(view, "compacted", size.rows)
+    return OverlayResult(view, "changes", arrived)

@@ -119,12 +119,13 @@ def by_partition(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = ()
     """Bring the rows of one partition directory together, however large it is.
 
     A hot directory is written by many tasks and a small one gets a single file.  (A plain
-    ``repartition(keys)`` sends the hot one to a single task; splitting tasks by size at
-    run time would also cut up whatever small directories share its tasks.)  Sorting by
-    the keys saves the writer its own sort.
+    ``repartition(keys)`` sends the hot one to a single task.  ``REBALANCE``, which takes
+    over beyond ``MAX_GROUPS`` directories, splits tasks by size at run time and with them
+    whatever small directories share them.)  Sorting by the keys saves the writer its own
+    sort.
     """
     groups = count_groups(df, keys)
-    together = (df.repartition(*keys) if groups.sizes is None
+    together = (df.hint("rebalance", *keys) if groups.sizes is None
                 else grouped(df, keys, groups, rows_per_file, least=1))
     return together.sortWithinPartitions(*keys, *sort_by)
 
@@ -164,7 +165,7 @@ def write_clustered(df: DataFrame, path: str, keys: Sequence[str], tie: Sequence
     by_range(df, keys, tie, files, rows_per_file, smallest_file).write.parquet(path)
 
 
-def _quoted(text: str) -> str:
+def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -180,7 +181,7 @@ def create_or_replace(df: DataFrame, table: str, spec: TableSpec,
     laid_out = by_partition(conform(df, spec), spec.partition_by, sort_by)
     laid_out.write.mode("overwrite").partitionBy(*spec.partition_by).saveAsTable(table)
     if spec.comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS {_quoted(spec.comment)}")
+        spark.sql(f"COMMENT ON TABLE {table} IS {quoted(spec.comment)}")
 
 
 def append_rows(df: DataFrame, table: str, spec: TableSpec,
@@ -203,11 +204,11 @@ def publish_clustered(spark: SparkSession, table: str, path: str, keys: Sequence
     if spark.catalog.tableExists(table) and spark.table(table).schema.names != columns.names:
         spark.sql(f"DROP TABLE {table}")  # other columns than before; its files stay
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(path)}")
     else:
-        clause = f"COMMENT {_quoted(comment)}" if comment else ""
+        clause = f"COMMENT {quoted(comment)}" if comment else ""
         spark.sql(
             f"CREATE TABLE {table} ({columns.toDDL()}) USING parquet "
-            f"CLUSTER BY ({', '.join(keys)}) {clause} LOCATION {_quoted(path)}"
+            f"CLUSTER BY ({', '.join(keys)}) {clause} LOCATION {quoted(path)}"
         )
     spark.catalog.refreshTable(table)

@@ -287,7 +287,7 @@ def hash_order_sample_query(spark, sf_dir):
 
 
 def hash_cutoff_sample_query(spark, sf_dir):
-    """Half of all line items' orders: more rows than one task should merge."""
+    """Half of all orders: more rows than one task should merge."""
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     half = orders.agg(F.floor(F.count("*") / 2).alias("n")).first().n
     return hash_order_sample(orders, "o_orderkey", half, top_k_limit=0)
