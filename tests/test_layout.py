@@ -1,5 +1,7 @@
 import pytest
 from conftest import SMALL, plan_of, rows_of
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -57,6 +59,21 @@ def test_groups_are_placed_in_order_and_evenly():
     assert _place([], 10, 10) == ([], 0)
 
 
+@given(st.lists(st.integers(1, 500), max_size=60), st.integers(1, 100), st.integers(0, 100))
+def test_placement_keeps_its_promises(sizes, rows_per_task, extra):
+    rows_per_file = rows_per_task + extra
+    placed, tasks = _place([Row(i, n) for i, n in enumerate(sizes)], rows_per_task, rows_per_file)
+    load = [0] * tasks
+    for (_, first, several), rows in zip(placed, sizes):
+        for task in range(first, first + several):
+            load[task] += rows / several
+    assert [p[1] for p in placed] == sorted(p[1] for p in placed)  # in key order
+    assert max(load, default=0) <= rows_per_file
+    assert min(load, default=1) > 0  # no task without rows
+    pairs = sum(several for *_, several in placed)
+    assert pairs <= len(sizes) + max(tasks - 1, 0)  # neighbours share at most a border
+
+
 def test_many_groups_fall_back_to_the_session_and_to_ranges(spark, skewed, tmp_path, monkeypatch):
     monkeypatch.setattr("tidemark.sources.writers.MAX_GROUPS", 5)
     assert count_groups(skewed, ["k"]).sizes is None

@@ -1,7 +1,8 @@
 import pytest
-from conftest import SMALL, declared, fact_of, rows_of
+from conftest import SMALL, declared, fact_of, plan_of, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.config import BatchConfig, GenerationConfig
@@ -9,6 +10,7 @@ from tidemark.operators import (
     FanOutError, append_only, duplicate_keys, hash_order_sample, latest_per_key,
     move_partitions, one_per_key, partial_update, touched_partitions, upsert,
 )
+from tidemark.operators.merge import within
 from tidemark.plans import (
     allocate_ids, create_sources, generate_dimension, generate_fact, land_batch, moved_rows,
     new_rows, next_id,
@@ -105,6 +107,16 @@ def test_moves_rewrite_both_partitions_and_drop_emptied_ones(spark, database, tm
     assert {str(f) for f in (tmp_path / "db" / "t" / "p=3").glob("*.parquet")} == kept
 
 
+def test_only_the_named_partitions_are_read(spark, tmp_path):
+    rows = [(i, i % 5 if i % 5 else None, i % 2) for i in range(50)]
+    spark.createDataFrame(rows, "id int, p int, b int").write.partitionBy("p", "b").parquet(
+        str(tmp_path / "t"))
+    got = within(spark.read.parquet(str(tmp_path / "t")), [Row(p=None, b=1), Row(p=3, b=0)])
+    assert {r.id for r in got.collect()} == {i for i in range(50) if (i % 5, i % 2) in {(0, 1), (3, 0)}}
+    assert "IN" in plan_of(got).split("PartitionFilters: [")[1].split("]")[0]
+    assert "Filter [" not in plan_of(got)  # nothing is left to check row by row
+
+
 def test_moves_without_a_match_touch_nothing(spark, database):
     table = f"{database}.t"
     spark.createDataFrame([(1, 1)], "id bigint, p int").write.partitionBy("p").saveAsTable(table)

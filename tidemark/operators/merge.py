@@ -123,6 +123,15 @@ def _partition_spec(row: Row) -> str:
     return ", ".join(f"`{name}` = {value}" for name, value in values.items())
 
 
+def within(df: DataFrame, partitions: Sequence[Row]) -> DataFrame:
+    """Rows of the given partitions; the condition holds on directory names alone, so no
+    other partition is read.  Null keys compare as equal inside a struct."""
+    keys = partitions[0].__fields__
+    return df.filter(F.struct(*keys).isin(*[
+        F.struct(*[F.lit(row[key]).cast(df.schema[key].dataType).alias(key) for key in keys])
+        for row in partitions]))
+
+
 def move_partitions(spark: SparkSession, table: str, updates: DataFrame, key: str,
                     assign: Mapping[str, str], partition_by: Sequence[str],
                     sort_by: Sequence[str] = ()) -> int:
@@ -140,12 +149,8 @@ def move_partitions(spark: SparkSession, table: str, updates: DataFrame, key: st
     touched = touched_partitions(target, frozen, key, assign, partition_by).collect()
     if not touched:
         return 0
-    place = F.struct(*partition_by)
-    inside = place.isin(*[
-        F.struct(*[F.lit(row[c]).cast(target.schema[c].dataType).alias(c) for c in partition_by])
-        for row in touched])
     rewritten = materialise(
-        partial_update(target.filter(inside), frozen, key, assign), "rewrite")
+        partial_update(within(target, touched), frozen, key, assign), "rewrite")
     with _dynamic_overwrite(spark):
         by_partition(rewritten, partition_by, sort_by).select(target.columns).write.mode(
             "overwrite").insertInto(table)
