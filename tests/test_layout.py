@@ -59,6 +59,14 @@ def test_groups_are_placed_in_order_and_evenly():
     assert _place([], 10, 10) == ([], 0)
 
 
+def test_groups_come_in_the_order_of_spark(spark):
+    df = spark.createDataFrame(
+        [("é", 1), ("z", 2), (None, 3), ("Z", 1), ("", 0), ("z", None), ("\U0001f600", 1), ("\uffee", 2)],
+        "k string, n int")
+    sizes = count_groups(df, ["k", "n"]).sizes
+    assert [row[:2] for row in sizes] == [row[:] for row in df.orderBy("k", "n").collect()]
+
+
 @given(st.lists(st.integers(1, 500), max_size=60), st.integers(1, 100), st.integers(0, 100))
 def test_placement_keeps_its_promises(sizes, rows_per_task, extra):
     rows_per_file = rows_per_task + extra

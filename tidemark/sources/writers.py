@@ -52,6 +52,12 @@ class Groups:
     sizes: Sequence[Row] | None
 
 
+def _key_order(row: Row) -> list:
+    """The order Spark sorts keys in: nulls first, text by its bytes."""
+    return [(value is not None, value.encode() if isinstance(value, str) else value or 0)
+            for value in row]
+
+
 def count_groups(df: DataFrame, keys: Sequence[str]) -> Groups:
     """Count rows per key, reading the key columns only."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
@@ -59,8 +65,7 @@ def count_groups(df: DataFrame, keys: Sequence[str]) -> Groups:
     width = sum(len(str(value)) for row in found for value in row)
     if len(found) > MAX_GROUPS or width > MAX_GROUP_BYTES:
         return Groups(counts.agg(F.sum("__rows")).first()[0], None)
-    order = df.sparkSession.createDataFrame(found, counts.schema).orderBy(*keys)
-    return Groups(sum(row["__rows"] for row in found), order.collect())
+    return Groups(sum(row["__rows"] for row in found), sorted(found, key=_key_order))
 
 
 def count_few_groups(df: DataFrame, keys: Sequence[str]) -> Groups:
