@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, packing, pii, secrets, sharding, toxicity
+from tidemark.llm import bpe, jaccard, langid, packing, pii, secrets, sharding, toxicity
 from tidemark.llm.common import held_out, table
 
 SHARDS = 16
@@ -67,9 +67,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.PATTERN, SPECIAL))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe, op2_sharding, op4_pii, op5_secrets, op6_toxicity, op8_language, op9_packing)}
+        op1_bpe, op2_sharding, op4_pii, op5_secrets, op6_toxicity, op8_language, op9_packing,
+        op10_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
