@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, jaccard, langid, packing, pii, secrets, sharding, toxicity
+from tidemark.llm import bpe, itq, jaccard, langid, packing, pii, secrets, sharding, topk, toxicity
 from tidemark.llm.common import held_out, table
 
 SHARDS = 16
@@ -36,6 +36,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "grown_shard")
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
 
@@ -52,6 +56,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("tox_score") >= TOXIC).cast("int").alias("predicted"))
 
 
+def op7_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return langid.with_language(
@@ -59,12 +67,15 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pack_documents(documents: DataFrame) -> DataFrame:
     import public_tokenizers
 
-    return packing.digests(packing.pack(
-        table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"),
-        public_tokenizers.PATTERN, SPECIAL))
+    return packing.pack(documents, tokenizer("byte_bpe_50k.tiktoken"),
+                        public_tokenizers.PATTERN, SPECIAL)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(pack_documents(table(spark, sf_dir, "documents")))
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,8 +84,8 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe, op2_sharding, op4_pii, op5_secrets, op6_toxicity, op8_language, op9_packing,
-        op10_jaccard)}
+        op1_bpe, op2_sharding, op3_topk, op4_pii, op5_secrets, op6_toxicity, op7_itq,
+        op8_language, op9_packing, op10_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
