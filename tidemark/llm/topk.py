@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,7 +134,7 @@ def _meet(queries: DataFrame, rows: DataFrame, sent, k: int) -> DataFrame:
         mine, theirs = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         keys = table["key"]
         order = np.empty(len(side), np.int64)
-        order[pa.compute.sort_indices(keys, null_placement="at_end").to_numpy()] = np.arange(
+        order[pc.sort_indices(keys, null_placement="at_end").to_numpy()] = np.arange(
             len(side))
         x, y, scores = search(vectors[mine], ids[mine], table["bar"].to_numpy()[mine],
                               vectors[theirs], ids[theirs], order[theirs], sent()[dim], k)
