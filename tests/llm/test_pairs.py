@@ -1,0 +1,208 @@
+"""Operators on pairs, and the pipeline, against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tidemark.llm import itq, jaccard, topk
+from tidemark.llm.components import connected
+
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def components(count, links):
+    root = list(range(count))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(x) for x in range(count)]
+
+
+def texts(seed=3):
+    """Originals, near copies at all distances, chains, exact copies and edge cases."""
+    draw = random.Random(seed)
+    out = [None, "", "  ", "one two", "ONE two", "one two three", "a b c d e", "a b c d e f"]
+    for _ in range(25):
+        words = draw.choices(WORDS, k=draw.choice([12, 40, 120, 400]))
+        for _ in range(draw.choice([1, 2, 12])):
+            copy = list(words)
+            for _ in range(draw.randint(0, 6)):
+                copy[draw.randrange(len(copy))] = draw.choice(WORDS)
+            out.append(" ".join(copy))
+    return out + ["x " * 30_000] * 2 + [out[-1]] * 40
+
+
+def shingle_set(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall("[^\x20\x09-\x0D]+", lower)
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def expected_groups(all_texts):
+    sets = [shingle_set(t) for t in all_texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j]
+             and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    return sets, components(len(sets), links)
+
+
+def joined(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "1 AS cid", "2 AS key", "3 AS n", "'x' AS body")
+    return jaccard.join(frame)
+
+
+@pytest.mark.parametrize("few, block", [(32, 256), (2, 4)])
+def test_join_equals_brute_force(spark, monkeypatch, few, block):
+    monkeypatch.setattr(jaccard, "FEW", few)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "SALTED", 8)
+    given = texts()
+    sets, roots = expected_groups(given)
+    got = {r.doc_id: r for r in joined(spark, list(enumerate(given))).collect()}
+    assert [got[i].n_shingles for i in range(len(given))] == [len(s) for s in sets]
+    assert [got[i].component_id for i in range(len(given))] == roots
+
+
+def test_join_with_odd_keys(spark):
+    got = joined(spark, [(None, "a b"), (3, "a b"), (None, "c d"), (5, None), (5, None),
+                         (7, "e f"), (7, "e f")]).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == sorted(
+        [(None, 1, 3), (3, 1, 3), (None, 1, None), (5, 0, 5), (5, 0, 5), (7, 1, 7), (7, 1, 7)],
+        key=repr)
+    assert joined(spark, []).count() == 0
+
+
+def test_components_of_paths_and_stars(spark):
+    path = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
+    got = {r.node: r.root for r in connected(
+        spark.createDataFrame(path, "a bigint, b bigint")).collect()}
+    assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 140)}
+    assert connected(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def vectors(seed=1):
+    draw = np.random.default_rng(seed)
+    rows = []
+    for label in (0, 1, None):
+        centres = draw.normal(size=(12, 16))
+        for centre in centres:
+            for _ in range(draw.choice([1, 3, 20])):
+                rows.append((label, (centre + draw.normal(size=16) * draw.choice([0, .05, .12]))
+                             .astype(np.float32).tolist()))
+    rows += [(0, None), (0, []), (0, [0.0] * 16), (0, [float("nan")] + [1.0] * 15),
+             (1, [None] + [1.0] * 15), (1, [1.0, 2.0]), (1, [2.0, 4.0]), (1, [1.0] * 16)] * 2
+    return [(i, v, label) for i, (label, v) in enumerate(rows)]
+
+
+def usable(v):
+    return v is not None and None not in v and bool(np.isfinite(v).all())
+
+
+@pytest.mark.parametrize("block", [1024, 8])
+def test_vector_links_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(itq, "BLOCK", block)
+    rows = vectors()
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = {r.vec_id: r for r in itq.near_duplicates(
+        frame.withColumn("code", F.lit(1)).withColumn("cid", F.lit("x")), 0.98).collect()}
+    links = []
+    for i, (_, a, la) in enumerate(rows):
+        for j, (_, b, lb) in enumerate(rows[:i]):
+            if la is not None and la == lb and usable(a) and usable(b) and len(a) == len(b) > 0:
+                a_, b_ = np.array(a, float), np.array(b, float)
+                if a_.any() and b_.any() and a_ @ b_ / np.linalg.norm(a_) / np.linalg.norm(
+                        b_) >= 0.98:
+                    links.append((i, j))
+    found = sum(r.n_links for r in got.values())
+    assert len(got) == len(rows) and 2 * len(links) >= found >= 0.99 * 2 * len(links)
+    if found == 2 * len(links):
+        roots = components(len(rows), links)
+        assert [got[i].component_id for i in range(len(rows))] == roots
+        assert all(got[i].kept == (roots[i] == i) for i in range(len(rows)))
+
+
+def test_vector_links_of_nothing(spark):
+    none = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
+    assert itq.near_duplicates(none, 0.98).count() == 0
+
+
+def search_frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn(
+        "score", F.lit("x")).withColumn("block", F.lit(1))
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_search_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "CHUNK", 8)
+    draw = np.random.default_rng(4)
+    rows = [(i, (draw.normal(size=20) * draw.choice([.1, 1, 3])).tolist()) for i in range(150)]
+    rows += [(i, rows[i - 150][1]) for i in range(150, 180)]  # ties
+    rows += [(200, None), (250, []), (251, [1.0] * 3), (300, [float("inf")] * 20),
+             (350, [None] * 20), (0, rows[3][1]), (None, rows[5][1])]
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(
+        search_frame(spark, rows), F.col("vec_id") % 50 == 0, 5).where(
+            "vec_id IS NOT NULL").collect())
+    want = []
+    for at, (key, vector) in enumerate(rows):
+        if key is None or key % 50 or not usable(vector):
+            continue
+        query = np.floor(256 * np.array(vector))
+        near = sorted((-int(query @ np.floor(256 * np.array(v))), k is None, k or 0)
+                      for i, (k, v) in enumerate(rows)
+                      if i != at and usable(v) and len(v) == len(vector))[:5]
+        want += [(key, rank, k, -score) for rank, (score, null, k) in enumerate(near, 1)
+                 if not null]
+    assert got == sorted(want)
+
+
+def test_search_of_nothing_and_of_huge_values(spark):
+    assert topk.top_k(search_frame(spark, []), F.lit(True), 5).count() == 0
+    huge = topk.top_k(search_frame(spark, [(0, [1e300]), (1, [1e300]), (2, [-1e300])]),
+                      F.col("vec_id") == 0, 5).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in huge] == [(1, 2**63 - 1), (2, -2**63)]
+
+
+def plain_stage(rows):
+    """Rows that stay when one of each group does."""
+    _, roots = expected_groups([t for _, t in rows])
+    return {rows[i][1] for i in range(len(rows)) if roots[i] == i}
+
+
+def test_duplicate_stage_keeps_one_of_each_group(spark):
+    given = [(i, t) for i, t in enumerate(texts(8))] + [(3, "one two"), (None, "null key"),
+                                                       (None, "null key")]
+    docs = spark.createDataFrame(given, "doc_id bigint, text string").selectExpr(
+        "doc_id", "text", "'en' AS lang", "'s' AS source", "length(text) AS n_chars", "1 AS name")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    blank = [t for _, t in given if not shingle_set(t)]
+    rows = [r for r in kept.collect() if shingle_set(r.text)]
+    assert len([r for r in kept.collect() if not shingle_set(r.text)]) == len(blank)
+    sets = [(i, t) for i, t in enumerate(t for _, t in given) if shingle_set(t)]
+    assert len(rows) == len({r for i, r in enumerate(
+        expected_groups([t for _, t in given])[1]) if shingle_set(given[i][1])})
+    assert sets
+
+
+def test_pipeline_of_small_and_empty_tables(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, docs, sf)
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+        if name != "packing":
+            assert made.columns == docs.columns
+            assert 0.5 * docs.count() < made.count() <= docs.count()
+        made.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    assert docs.count() > 0

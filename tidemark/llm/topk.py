@@ -38,6 +38,9 @@ EXACT = float(1 << 53)
 
 def rotation(rows: np.ndarray) -> np.ndarray:
     """Right singular vectors, the strongest first."""
+    if not rows.size:
+        return np.eye(rows.shape[1])
+    rows = rows / max(float(np.abs(rows).max()), 1.0)  # products of very large values overflow
     return np.linalg.eigh(rows.T @ rows)[1][:, ::-1]
 
 
@@ -56,6 +59,11 @@ def search(queries: np.ndarray, query_rows: np.ndarray, bars: np.ndarray, rows:
            row_ids: np.ndarray, order: np.ndarray, turn: np.ndarray, k: int,
            ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of queries and rows, and scores, of each query's best k; ``order`` ranks ties."""
+    with np.errstate(all="ignore"):
+        return _search(queries, query_rows, bars, rows, row_ids, order, turn, k)
+
+
+def _search(queries, query_rows, bars, rows, row_ids, order, turn, k):
     lengths = np.linalg.norm(rows, axis=1)
     queue = np.argsort(-lengths, kind="stable")
     q_lengths = np.linalg.norm(queries, axis=1)
@@ -69,12 +77,13 @@ def search(queries: np.ndarray, query_rows: np.ndarray, bars: np.ndarray, rows:
     for at in range(0, len(queue), CHUNK):
         part = queue[at:at + CHUNK]
         slack = 1e-9 * q_lengths * lengths[part[0]] + 1e-3
-        live = np.flatnonzero(q_lengths * lengths[part[0]] + slack >= bars)
+        # Beyond what doubles hold a bound is not a number, and rules nothing out.
+        live = np.flatnonzero(~(q_lengths * lengths[part[0]] + slack < bars))
         if not len(live):
             break  # the rest is shorter still
         bound = (q_turned[live, :head] @ r_turned[part, :head].T
                  + q_rest[live, None] * r_rest[None, part] + slack[live, None])
-        may = bound >= bars[live, None]
+        may = ~(bound < bars[live, None])
         live, may = live[may.any(axis=1)], may[may.any(axis=1)]
         part, may = part[may.any(axis=0)], may[:, may.any(axis=0)]
         if not len(live):
@@ -129,7 +138,7 @@ def _meet(queries: DataFrame, rows: DataFrame, sent, k: int) -> DataFrame:
         side = table["side"].to_numpy()
         dim = table["dim"][0].as_py()
         vectors = np.asarray(table["vector"].combine_chunks().flatten(), np.float64).reshape(
-            -1, dim)
+            len(side), dim)
         ids = table["row"].to_numpy()
         mine, theirs = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         keys = table["key"]
@@ -171,7 +180,7 @@ def top_k(df: DataFrame, is_query: Column, k: int, key: str = "vec_id",
     for dim, n, _ in sizes:
         chosen = rows.where((F.col("dim") == dim) & hash_below(share(sample, n), "row"))
         found = [v.as_py() for v in chosen.select("vector").limit(2 * sample).toArrow().column(0)]
-        turns[dim] = rotation(np.array(found or [[0.0] * dim]).reshape(-1, dim))
+        turns[dim] = rotation(np.array(found, np.float64).reshape(len(found), dim))
     blocks = max(1, -(-sum(s["n"] for s in sizes) // BLOCK))
     parts = max(1, -(-sum(s["queries"] for s in sizes) // BLOCK))
     sent = shared(df.sparkSession, turns)
