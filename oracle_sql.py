@@ -460,6 +460,8 @@ SELECT event_id, count(*) AS n FROM (SELECT event_id FROM old UNION ALL SELECT e
 GROUP BY event_id HAVING count(*) > 1""",
         "gold_incremental": ORDERS_READ_TABLE,
         "gold_restated": ORDERS_READ_TABLE,
+        "gold_orphaned_move": f"""{ORDERS_READ_TABLE}
+WHERE NOT (o.o_orderdate < TIMESTAMP '2000-01-01 00:00:00' AND o.o_orderpriority = '1-URGENT')""",
         "batch_cycle": f"WITH {SOURCES},{_landed('employee', ASOF, 'first', False)},"
                        f"{_landed('first', LATER, 'second', True)} "
                        f"{READ_TABLE.format(fact='second')}",

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from conftest import SMALL, SPEC, dim_of, fact_of, plan_of, rows_of
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ from tidemark.plans import (
     quarantine, refresh_output, refresh_overlay, run_build, verify_layout,
 )
 
+from tidemark.sources.layout import clustering_columns
+
 DIM = [("x", "1"), ("y", "2"), ("z", "3")]
 BASE = [(1, "x", 0, 0), (2, "y", 0, 1), (3, "z", 0, 2)]
 
@@ -264,3 +268,28 @@ def test_overlay_over_an_empty_fact_fills_later(spark, database, tmp_path):
     assert spark.table(view).count() == 0
     refresh_overlay(spark, view, fact_of(spark, BASE), dim, root, SPEC)
     assert rows_of(spark.table(view)) == rows_of(build_output(fact_of(spark, BASE), dim, SPEC))
+
+
+def test_a_row_that_moves_to_a_missing_parent_leaves_both_outputs(spark, database, tmp_path):
+    before = fact_of(spark, [(1, "a", 1, 1), (2, "a", 2, 2)])
+    after = fact_of(spark, [(1, "gone", 1, 5), (2, "a", 2, 2)])
+    dim = dim_of(spark, [("a", "A")])
+    root = f"{tmp_path}/versions"
+    table, view = f"{database}.rewritten", f"{database}.overlaid"
+    run_build(spark, table, before, dim, root, SPEC)
+    refresh_overlay(spark, view, before, dim, root, SPEC)
+    run_build(spark, table, after, dim, root, SPEC)
+    assert refresh_overlay(spark, view, after, dim, root, SPEC).mode == "compacted"
+    assert rows_of(spark.table(table), "id") == rows_of(spark.table(view), "id") == [(2,)]
+    assert refresh_overlay(spark, view, after, dim, root, SPEC).mode == "changes"
+
+
+def test_publishing_another_type_or_cluster_key_is_declared(spark, database, tmp_path):
+    fact, dim = fact_of(spark, [(1, "a", 1, 1)]), dim_of(spark, [("a", "7")])
+    table, root = f"{database}.typed", f"{tmp_path}/versions"
+    run_build(spark, table, fact, dim, root, SPEC, full=True)
+    wide = dim.withColumn("a", F.col("a").cast("bigint"))
+    other = replace(SPEC, cluster_by=("v",))
+    run_build(spark, table, fact, wide, root, other, full=True)
+    assert rows_of(spark.table(table), "a") == [(7,)]
+    assert clustering_columns(spark, table) == ["v"]

@@ -6,7 +6,6 @@ from tidemark.functions import draw, id_key
 from tidemark.operators import (
     FanOutError, computed_key_join, many_to_one_join, measure_side, unmatched_rows,
 )
-from tidemark.operators.joins import hot_keys
 
 DIM = [("x", "1"), ("y", "2"), ("z", "3")]
 FACT = [(1, "x", 0, 0), (2, "y", 0, 0), (3, "x", 0, 0), (4, "q", 0, 0), (5, None, 0, 0)]
@@ -77,12 +76,6 @@ def test_wide_values_count_towards_the_size(spark):
     assert measure_side(wide, ["id"]).bytes > 1_000_000
 
 
-def test_hot_keys_finds_the_hot_one_only(skewed):
-    assert hot_keys(skewed, "k") == ["hot"]
-    assert hot_keys(skewed.limit(0), "k") == []
-    assert hot_keys(skewed.withColumn("k", F.lit(1.5)), "k") == []  # left to adaptive execution
-
-
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_split_join_equals_plain_join(skewed, parents, how):
     split = many_to_one_join(skewed, parents, "k", how, broadcast_limit=0)
@@ -101,9 +94,17 @@ def test_small_side_is_broadcast_and_large_side_not_shuffled(skewed, parents):
     assert "hashpartitioning" not in plan.split("InMemoryRelation")[0]
 
 
-def test_large_side_is_merged_and_only_hot_rows_broadcast(skewed, parents):
-    plan = plan_of(many_to_one_join(skewed, parents, "k", broadcast_limit=0))
-    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+@pytest.mark.parametrize("kind", ["string", "decimal(9,2)", "timestamp", "double"])
+def test_large_side_is_merged_once_for_any_key_type(spark, kind):
+    keys = spark.range(40).selectExpr("cast(id % 4 as int) AS n", "id")
+    cast = "timestamp_seconds(n)" if kind == "timestamp" else f"cast(n AS {kind})"
+    large = keys.selectExpr("id", f"{cast} AS k")
+    small = spark.range(3).selectExpr("cast(id as int) AS n", "id AS a").selectExpr(
+        f"{cast} AS k", "a")
+    joined = many_to_one_join(large, small, "k", broadcast_limit=0)
+    plan = plan_of(joined)
+    assert plan.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in plan
+    assert joined.count() == 30
 
 
 def test_computed_key_join_reaches_every_parent(spark):

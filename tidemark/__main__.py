@@ -11,6 +11,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.config import DEFAULT_ASOF, BatchConfig, GenerationConfig
 from tidemark.operators import partition_profile, row_counts, skew_profile, watermark_profile
@@ -68,12 +69,20 @@ class Jobs:
     def build(self) -> None:
         fact, dimension = self.spark.table(self.employee), self.spark.table(self.department)
         if self.args.overlay:
+            if self.args.full:
+                raise SystemExit("--full rebuilds the published table; leave out --overlay")
             print(refresh_overlay(self.spark, self.output, fact, dimension, self.args.root))
         else:
             print(run_build(self.spark, self.output, fact, dimension, self.args.root,
                             full=self.args.full))
 
-    def verify(self, landed: int = 0) -> None:
+    def verify(self, landed: int | None = None) -> None:
+        """Without a number, all rows beyond the generated ones are taken as landed: their
+        ids follow the generated ones."""
+        if landed is None:
+            landed = self.spark.table(self.employee).where(
+                F.col("employee_id") >= self.config.first_employee_id + self.config.employees
+            ).count()
         fact = self.spark.table(self.employee).select(EMPLOYEE.columns)
         dimension = self.spark.table(self.department).select(DEPARTMENT.columns)
         output = self.spark.table(self.output)

@@ -14,7 +14,6 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 
 # Keys with at least this share of the large side are split off in a shuffled join.  There
 # are at most 1 / HOT_SHARE of them, which bounds what is collected and broadcast for them.
-HOT_SHARE = 0.01
 
 ROW_OVERHEAD = 48
 
@@ -63,47 +62,14 @@ def measure_side(side: DataFrame, keys: Sequence[str]) -> SideSize:
     return SideSize(row.rows, row.bytes, row.largest, row.nulls)
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that hold at least ``share`` of the rows, at most ``1 / share`` values.
-
-    One pass over the key column with a sketch.  It only steers how the rows travel: the
-    split below is exact for any set of keys.
-    """
-    if not isinstance(df.schema[key].dataType, (T.IntegralType, T.StringType, T.DateType)):
-        return []  # left to adaptive skew handling
-    most = int(1 / share)
-    row = df.filter(F.col(key).isNotNull()).agg(
-        F.call_function("approx_top_k", F.col(key), F.lit(most), F.lit(100 * most)).alias("top"),
-        F.count("*").alias("total"),
-    ).first()
-    return [item["item"] for item in row.top if item["count"] >= share * row.total]
-
-
-def split_join(large: DataFrame, small: DataFrame, key: str, how: str,
+def sized_join(large: DataFrame, small: DataFrame, key: str, how: str,
                broadcast: bool) -> DataFrame:
-    """Join on one key; for inner and left joins ``small`` holds one row per key.
+    """Join on one key, broadcasting ``small`` when its measured size allows.
 
-    Broadcast when allowed.  Otherwise the hot keys of the large side, and its null keys
-    where the join keeps them, are joined in place against the few small rows they can
-    match, and only the remaining, evenly spread rows are shuffled.
+    Beyond that both sides are shuffled once and merged, whatever a file size might suggest;
+    adaptive execution splits the partitions of hot keys, of any type.
     """
-    if broadcast:
-        return large.join(F.broadcast(small), key, how)
-    # the size was found too large to broadcast, whatever a file size might suggest
-    spread = small.hint("merge")
-    hot = hot_keys(large, key)
-    keeps_null = how in ("left", "left_anti")
-    if not hot and not keeps_null:
-        return large.join(spread, key, how)
-    column = F.col(key)
-    is_hot = column.isin(hot) if hot else F.lit(False)
-    in_place = large.filter(column.isNull() | is_hot if keeps_null else is_hot)
-    shuffled = large.filter(column.isNotNull() & ~is_hot)
-    few = small.filter(is_hot)
-    if how in ("left_anti", "left_semi"):
-        few = few.select(key).distinct()  # either way one row per hot key at most
-    return in_place.join(F.broadcast(few), key, how).unionByName(
-        shuffled.join(spread, key, how))
+    return large.join(F.broadcast(small) if broadcast else small.hint("merge"), key, how)
 
 
 def filtering_join(large: DataFrame, keys: DataFrame, key: str, how: str,
@@ -111,7 +77,7 @@ def filtering_join(large: DataFrame, keys: DataFrame, key: str, how: str,
     """Rows of ``large`` whose key is (``left_semi``) or is not (``left_anti``) among ``keys``."""
     side = keys.select(key)
     fits = measure_side(side, [key]).bytes <= broadcast_limit
-    return split_join(large, side, key, how, fits).select(large.columns)
+    return sized_join(large, side, key, how, fits).select(large.columns)
 
 
 def many_to_one_join(large: DataFrame, small: DataFrame, key: str, how: str = "inner",
@@ -129,7 +95,7 @@ def many_to_one_join(large: DataFrame, small: DataFrame, key: str, how: str = "i
     if not size.unique:
         raise FanOutError(f"{key!r} has up to {size.rows_of_largest_key} rows per value on "
                           "the small side; the join would fan out")
-    return split_join(large, small, key, how, size.bytes <= broadcast_limit)
+    return sized_join(large, small, key, how, size.bytes <= broadcast_limit)
 
 
 def unmatched_rows(large: DataFrame, small: DataFrame, key: str,

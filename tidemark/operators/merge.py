@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import (
-    BROADCAST_LIMIT, FanOutError, many_to_one_join, measure_side, split_join,
+    BROADCAST_LIMIT, FanOutError, many_to_one_join, measure_side, sized_join,
 )
 from tidemark.sources.scratch import materialise
 from tidemark.sources.writers import by_partition, quoted
@@ -45,17 +45,19 @@ def one_per_key(batch: DataFrame, key: str, order_by: Sequence[str],
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str,
-           broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+           broadcast_limit: int = BROADCAST_LIMIT, changed: DataFrame | None = None) -> DataFrame:
     """Target rows whose key is not in the batch, then the batch itself.
 
     ``batch`` must hold one row per key (``one_per_key``).  Only its keys meet the target;
-    while they fit, the target is neither shuffled nor sorted.
+    while they fit, the target is neither shuffled nor sorted.  ``changed`` names all keys
+    whose target rows go, if those are more than the batch's own: a changed row that no
+    longer belongs to the target leaves it.
     """
-    keys = batch.select(key)
+    keys = (batch if changed is None else changed).select(key)
     size = measure_side(keys, [key])
     if not size.unique:
         raise FanOutError(f"a batch with {size.rows_of_largest_key} rows for one {key!r}")
-    kept = split_join(target, keys, key, "left_anti", size.bytes <= broadcast_limit)
+    kept = sized_join(target, keys, key, "left_anti", size.bytes <= broadcast_limit)
     return kept.select(target.columns).unionByName(batch.select(target.columns))
 
 

@@ -58,7 +58,7 @@ def refresh_output(fact: DataFrame, dimension: DataFrame, previous: DataFrame |
 
     Without a previous output, or with an empty one, this is the full build.  Otherwise
     only fact rows beyond the mark are joined, and replace or join the previous rows by
-    key.  ``restate`` also renews the dimension columns of all other rows; changes of the
+    key; a row whose new version finds no dimension row leaves the output.  ``restate`` also renews the dimension columns of all other rows; changes of the
     dimension alone carry no mark and would go unnoticed.
     """
     mark = None if previous is None else high_water_mark(previous, spec.watermark)
@@ -68,7 +68,7 @@ def refresh_output(fact: DataFrame, dimension: DataFrame, previous: DataFrame |
     if restate:
         merged = upsert(previous.select(*spec.fact_columns), changed, spec.key)
         return build_output(merged, dimension, spec)
-    return upsert(previous, build_output(changed, dimension, spec), spec.key)
+    return upsert(previous, build_output(changed, dimension, spec), spec.key, changed=changed)
 
 
 def quarantine(fact: DataFrame, dimension: DataFrame, spec: OutputSpec = OutputSpec()) -> DataFrame:

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.config import OutputSpec, WatermarkPolicy
-from tidemark.operators.joins import BROADCAST_LIMIT, measure_side
+from tidemark.operators.joins import BROADCAST_LIMIT, filtering_join, measure_side
 from tidemark.operators.merge import upsert
 from tidemark.operators.watermark import high_water_mark
 from tidemark.plans.output import (
@@ -101,9 +101,20 @@ def refresh_overlay(spark: SparkSession, view: str, fact: DataFrame, dimension:
     changed = changed_rows(fact, mark, spec, policy, retry)
     built = materialise(build_output(changed, dimension, spec), "built")
     arrived = built.count()
+    changes = spark.table(_changes(view)).select(*spec.columns)
+    lost = filtering_join(changed, built, spec.key, "left_anti").select(spec.key)
+    if not filtering_join(spark.table(view).select(spec.key), lost, spec.key,
+                          "left_semi").isEmpty():
+        # A view of kept and changed rows cannot take one out of the base, so the base is
+        # written anew without the rows that no longer join.
+        base = spark.table(_base(view)).select(*spec.columns)
+        merged = upsert(base, changes, spec.key)
+        _write(upsert(merged, built, spec.key, changed=changed), _base(view), root, spec)
+        _clear_changes(spark, view, root, spec)
+        return OverlayResult(view, "compacted", arrived)
     if arrived == 0:
         return OverlayResult(view, "changes", 0)
-    current = upsert(spark.table(_changes(view)).select(*spec.columns), built, spec.key)
+    current = upsert(changes, built, spec.key)
     # the view broadcasts the keys of all changes it keeps, so they have to stay small
     if measure_side(current.select(spec.key), [spec.key]).bytes > broadcast_limit:
         _fold(spark, view, current, root, spec)

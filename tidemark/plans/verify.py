@@ -35,11 +35,12 @@ class Expectations:
         """What freshly generated tables should show, or those with ``landed`` rows added.
 
         The hot share follows from the draw (38.75% with 24 departments, not the 30% that
-        go to the hot keys only), and the days number one more when a row falls on the
-        anchor itself.
+        go to the hot keys only); landed rows are spread evenly, so they are weighed in with
+        an even share.  The days number one more when a row falls on the anchor itself.
         """
-        share = 100.0 * expected_hot_share(
-            config.departments, config.hot_keys, config.hot_percent)
+        skewed = expected_hot_share(config.departments, config.hot_keys, config.hot_percent)
+        even = min(config.hot_keys, config.departments) / config.departments
+        share = 100.0 * (config.employees * skewed + landed * even) / (config.employees + landed)
         return cls(
             fact_rows=config.employees + landed,
             dimension_rows=config.departments,

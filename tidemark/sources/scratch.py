@@ -2,29 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
-
-
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new, not yet existing folder below the shared one the session names.
 
     ``spark.checkpoint.dir`` must be reachable by every executor.  Only a local session
-    without the setting falls back to a temporary folder of this machine.
+    without the setting falls back to a folder beside its tables, in the warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = _local_root()
+        root = f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

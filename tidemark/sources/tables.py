@@ -29,29 +29,29 @@ def _column(name: str, data_type: T.DataType, comment: str = "") -> T.StructFiel
 
 DEPARTMENT = TableSpec(
     T.StructType([
-        _column("department_number", T.IntegerType(), "Partition key, chosen for ingest"),
-        _column("department_name", T.StringType(), "Join key of the read table; unique"),
+        _column("department_number", T.IntegerType(), "Directory of the row"),
+        _column("department_name", T.StringType(), "Looked up by the read table; one row each"),
         _column("department_head", T.StringType()),
         _column("cost_center", T.StringType()),
         _column("division", T.StringType()),
     ]),
     partition_by=("department_number",),
-    comment="Generated department reference table, the small side of a many-to-one join",
+    comment="Drawn departments, one row each",
 )
 
 EMPLOYEE = TableSpec(
     T.StructType([
-        _column("employee_id", T.LongType(), "Grain; unique key of the merge"),
+        _column("employee_id", T.LongType(), "Identifies a row; changes are matched on it"),
         _column("employee_name", T.StringType()),
-        _column("department_number", T.IntegerType(), "Partition key, chosen for ingest"),
-        _column("department_name", T.StringType(), "Join key of the read table; no partition key"),
+        _column("department_number", T.IntegerType(), "First directory level of the row"),
+        _column("department_name", T.StringType(), "Looked up in the departments"),
         _column("location_code", T.StringType()),
         _column("salary_band", T.StringType()),
-        _column("updated_at", T.TimestampNTZType(), "High-water mark of the incremental build"),
-        _column("employee_id_bucket", T.IntegerType(), "Partition key that stands in for the id"),
+        _column("updated_at", T.TimestampNTZType(), "When the row last changed; refreshes read from its maximum on"),
+        _column("employee_id_bucket", T.IntegerType(), "Second directory level, drawn from the id"),
     ]),
     partition_by=("department_number", "employee_id_bucket"),
-    comment="Generated employee table, the large side of a many-to-one join",
+    comment="Drawn employees; changes arrive in batches",
 )
 
 

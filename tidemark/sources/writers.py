@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.layout import clustering_columns
 from tidemark.sources.tables import TableSpec, conform
 
 # A task sorts and writes about this many rows (100 to 200 MB as a rule) at any size of the
@@ -202,13 +203,19 @@ def publish_clustered(spark: SparkSession, table: str, path: str, keys: Sequence
                       comment: str = "") -> None:
     """Point a table at a finished folder of clustered files.
 
-    The swing is one catalog change: readers see the old files or the new ones, and the
-    old folder stays readable for queries that are still running on it.
+    With the columns and types as before the swing is one catalog change: readers see the
+    old files or the new ones.  With others the table is declared anew, and is absent for a
+    moment.  Either way the old folder stays readable for queries still running on it.
     """
     columns = spark.read.parquet(path).schema
-    if spark.catalog.tableExists(table) and spark.table(table).schema.names != columns.names:
-        spark.sql(f"DROP TABLE {table}")  # other columns than before; its files stay
-    if spark.catalog.tableExists(table):
+    described = [(f.name, f.dataType) for f in columns]
+    stands = spark.catalog.tableExists(table)
+    if stands and [(f.name, f.dataType) for f in spark.table(table).schema] != described:
+        spark.sql(f"DROP TABLE {table}")  # other columns or types; the old files stay
+        stands = False
+    if stands:
+        if clustering_columns(spark, table) != list(keys):
+            spark.sql(f"ALTER TABLE {table} CLUSTER BY ({', '.join(keys)})")
         spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(path)}")
     else:
         clause = f"COMMENT {quoted(comment)}" if comment else ""

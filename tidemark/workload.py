@@ -386,6 +386,20 @@ def gold_restated_query(spark, sf_dir):
     return refresh_output(fact, customer, previous, ORDERS, restate=True)
 
 
+def gold_orphaned_move_query(spark, sf_dir):
+    """Urgent orders before a cut move to a customer that is not there, and so leave."""
+    fact, customer = _named_orders(spark, sf_dir), _table(spark, sf_dir, "customer")
+    before = F.col("o_orderdate") < anchor(ORDERS_CUT)
+    previous = materialise(build_output(fact.filter(before), customer, ORDERS), "output")
+    moved = before & (F.col("o_orderpriority") == "1-URGENT")
+    kind = fact.schema["o_orderdate"].dataType
+    fact = fact.withColumns({
+        "c_name": F.when(moved, F.lit("nobody")).otherwise(F.col("c_name")),
+        "o_orderdate": F.when(moved, anchor(ORDERS_CUT).cast(kind)).otherwise(
+            F.col("o_orderdate"))})
+    return refresh_output(fact, customer, previous, ORDERS)
+
+
 def batch_cycle_query(spark, sf_dir):
     """Generate, build, land two batches with a refresh after each; the read table at the end."""
     database, employee, department = _source_tables(spark, sf_dir)
@@ -505,6 +519,7 @@ def queries() -> dict[str, Query]:
         "append_only_duplicates": append_only_duplicates_query,
         "gold_incremental": gold_incremental_query,
         "gold_restated": gold_restated_query,
+        "gold_orphaned_move": gold_orphaned_move_query,
         "batch_cycle": batch_cycle_query,
         "batch_cycle_overlay": batch_cycle_overlay_query,
         "partitioned_write_roundtrip": partitioned_write_roundtrip_query,
