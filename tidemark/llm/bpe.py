@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import per_worker
 
 # Bounds of the caches of one worker, which only save time.
-CACHED_WORDS = 200_000
-CACHED_PIECES = 400_000
+CACHED_WORDS = 150_000
+CACHED_PIECES = 300_000
 CACHED_LENGTH = 64
+ROWS_OUT = 512
 
 # Characters whose normalisation, lower case and class follow the rules below without
 # Unicode tables: printable ASCII, Latin letters with marks, common dashes and quotes.
@@ -195,6 +196,27 @@ def decode(df: DataFrame, tokenizer: str, key: str = "doc_id", ids: str = "ids")
         run, f"`{key}` {kind}, n_tokens long, ids binary, decoded string")
 
 
+def round_trip(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
+               ) -> DataFrame:
+    """What ``decode(encode(df))`` gives, with one Python worker for both."""
+    kind = dict(df.dtypes)[key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _bpe(tokenizer)
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_OUT):
+                batch = whole.slice(at, ROWS_OUT)
+                ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),
+                     pa.array(ids, pa.binary()),
+                     pa.array(map(bpe.decode, ids), pa.string())],
+                    names=[key, "n_tokens", "ids", "decoded"])
+
+    return df.select(key, text).mapInArrow(
+        run, f"`{key}` {kind}, n_tokens long, ids binary, decoded string")
+
+
 def digests(decoded: DataFrame, key: str = "doc_id") -> DataFrame:
     return decoded.select(
         key, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),

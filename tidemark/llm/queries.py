@@ -23,9 +23,8 @@ def tokenizer(name: str) -> str:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer("word_bpe_49k.json")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
-    return bpe.digests(bpe.decode(encoded, path))
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"),
+                                      tokenizer("word_bpe_49k.json")))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
