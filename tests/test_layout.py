@@ -210,7 +210,8 @@ class _Session:
 
 
 def test_only_a_local_session_may_do_without_the_setting():
-    assert "tidemark-" in scratch_folder(_Session(spark_master="local[4]"), "x")
+    local = _Session(spark_master="local[4]", spark_sql_warehouse_dir="/w")
+    assert scratch_folder(local, "x").startswith("/w/_scratch/x-")
     with pytest.raises(RuntimeError):
         scratch_folder(_Session(spark_master="yarn"), "x")
     shared = _Session(spark_master="yarn", spark_checkpoint_dir="hdfs://shared/c/")
