@@ -64,6 +64,7 @@ def joined(spark, rows):
 def test_join_equals_brute_force(spark, monkeypatch, few, block):
     monkeypatch.setattr(jaccard, "FEW", few)
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 30 * block)
     monkeypatch.setattr(jaccard, "SALTED", 8)
     given = texts()
     sets, roots = expected_groups(given)
