@@ -5,6 +5,8 @@ calendar) and replaced by a keyed Feistel permutation of the values of their for
 number becomes another valid card number, a date another date written the same way.  The
 permutation depends on the key and the kind alone, so equal values get equal pseudonyms in
 every document, however they are spaced or dashed, and different values different ones.
+A value may stand directly before another: of the readings of a run of digits those are taken
+that pass their checks and cover most of it.
 
 Kinds: ``email``, ``iban``, ``card``, ``phone``, ``ip``, ``ssn``, ``date``.  What fails its
 check stays.  A null text stays null, an empty one empty; texts are treated whole; equal
@@ -16,7 +18,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
 from datetime import date
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,16 +32,33 @@ ROUNDS = 10
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
-NUMBERS = re.compile(
-    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
-    r"(?![A-Za-z0-9]))"
-    r"|(?P<date>(?<![\d./-])(?:\d{4}(?P<a>[-/.])\d{1,2}(?P=a)\d{1,2}"
-    r"|\d{1,2}(?P<b>[-/.])\d{1,2}(?P=b)\d{4})(?!\d|[./-]\d))"
-    r"|(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d))"
-    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?!\d|-\d))"
-    r"|(?P<card>(?<![\dA-Za-z])\d(?:[ -]?\d){12,18}(?![\dA-Za-z]))"
-    r"|(?P<phone>\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)"
-    r"|(?<![\d.(+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d|[.-]\d))")
+STARTS = re.compile(r"\d+|\+(?=\d)|\((?=\d)|[A-Z]{2}(?=\d\d)")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+                  r"(?![A-Za-z0-9])")
+DATE = re.compile(r"(?<![\d./-])(?:\d{4}(?P<a>[-/.])\d{1,2}(?P=a)\d{1,2}"
+                  r"|\d{1,2}(?P<b>[-/.])\d{1,2}(?P=b)\d{4})(?!\d|[./-]\d)")
+IP = re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)")
+SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!\d|-\d)")
+CARD = re.compile(r"(?<![\dA-Za-z])\d(?:[ -]?\d){12,18}(?![\dA-Za-z])")
+PHONE = re.compile(r"\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)"
+                   r"|(?<![\d.(+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d|[.-]\d)")
+# How the digits of a card are grouped, if at all.
+CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)}
+IBAN_SIZES = {p[:2]: int(p[2:]) for p in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 "
+    "EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 "
+    "IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 "
+    "NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 "
+    "TN24 TR26 UA29 VA22 VG24 XK20").split()}
+# Digits of a national number by country code; other codes allow 8 to 15 digits in all.
+PLANS = {code: (int(low), int(high)) for code, low, high in (p.split(":") for p in (
+    "1:10:10 7:10:10 20:8:10 27:9:9 30:10:10 31:9:9 32:8:9 33:9:9 34:9:9 36:8:9 39:6:11 40:9:9 "
+    "41:9:9 43:6:13 44:9:10 45:8:8 46:7:10 47:8:8 48:9:9 49:6:11 51:8:9 52:10:11 54:10:11 "
+    "55:10:11 56:9:9 57:10:10 58:10:10 60:8:10 61:9:9 62:8:12 63:8:10 64:8:10 65:8:8 66:8:9 "
+    "81:9:10 82:8:10 84:9:10 86:10:11 90:10:10 91:10:10 92:9:10 94:9:9 98:10:10 212:9:9 213:8:9 "
+    "216:8:8 234:8:10 254:9:9 351:9:9 352:6:9 353:7:9 354:7:7 358:6:11 359:8:9 370:8:8 371:8:8 "
+    "372:7:8 380:9:9 381:8:9 385:8:9 386:8:8 420:9:9 421:9:9 852:8:8 886:8:9 966:9:9 971:8:9 "
+    "972:8:9").split())}
 
 
 class Cipher:
@@ -216,29 +238,110 @@ def _date(cipher: Cipher, text: str) -> str | None:
     return None
 
 
-MAKERS = {"iban": _iban, "card": _card, "phone": _phone, "ip": _ip, "ssn": _ssn,
-          "date": _date}
+def borders(text: str) -> list[int]:
+    """The ends of a match's tokens, the last one first."""
+    return [i for i in range(len(text), 0, -1)
+            if text[i - 1].isalnum() and not text[i:i + 1].isalnum()]
+
+
+def _in_plan(text: str) -> bool:
+    digits = digits_of(text)
+    code = next((digits[:n] for n in (1, 2, 3) if digits[:n] in PLANS), None)
+    low, high = PLANS.get(code, (0, 15))
+    return low <= len(digits) - len(code or "") - ("(0)" in text) <= high
+
+
+def _card_rank(text: str) -> tuple[bool, bool, int]:
+    """Usual groups first, then sixteen digits, then the longest."""
+    groups = re.split("[ -]", text)
+    size = sum(map(len, groups))
+    usual = len(groups) == 1 or (
+        tuple(map(len, groups)) in CARD_GROUPS and not ("-" in text and " " in text))
+    return not usual, size != 16, -size
+
+
+def _readings(cipher: Cipher, text: str, start: int) -> Iterator[tuple[int, str, str, bool]]:
+    """End, kind, pseudonym and whether oddly grouped, of what starts here and passes its check.
+
+    A pattern may run on into the next number, so its shorter ends are tried as well: an
+    account's registered length first, a card's best end, and all ends a phone's plan allows.
+    """
+    def ends(pattern: re.Pattern) -> list[str]:
+        m = pattern.match(text, start)
+        return [m[0][:i] for i in borders(m[0])] if m else []
+
+    first = text[start]
+    if first.isalpha():
+        size = IBAN_SIZES.get(text[start:start + 2])
+        for part in sorted(ends(IBAN), key=lambda p: len(p.replace(" ", "")) != size):
+            if made := _iban(cipher, part):
+                yield start + len(part), "iban", made, False
+                return
+        return
+    if first.isdecimal():
+        for kind, pattern, maker in (("date", DATE, _date), ("ip", IP, _ip), ("ssn", SSN, _ssn)):
+            if (m := pattern.match(text, start)) and (made := maker(cipher, m[0])):
+                yield m.end(), kind, made, False
+        for part in sorted(ends(CARD), key=_card_rank):
+            if made := _card(cipher, part):
+                yield start + len(part), "card", made, _card_rank(part)[0]
+                break
+    if first == "+":
+        parts = ends(PHONE)
+        parts = [p for p in parts if 8 <= len(digits_of(p)) <= 15 and _in_plan(p)] or parts
+    else:
+        parts = ends(PHONE)[:1]
+    for part in parts:
+        if made := _phone(cipher, part):
+            yield start + len(part), "phone", made, False
+
+
+def _apart(found: list, others: list) -> list:
+    """Those of the readings that overlap none of the others."""
+    if not others:
+        return found
+    others = sorted((s, e) for s, e, _, _ in others)
+    starts = [s for s, _ in others]
+    reach = list(accumulate((e for _, e in others), max))  # the furthest end so far
+    return [f for f in found
+            if not (i := bisect_left(starts, f[1])) or reach[i - 1] <= f[0]]
+
+
+def _chosen(found: list[tuple[int, int, str, str]], text: str) -> list[tuple[int, int, str, str]]:
+    """Of readings that overlap, those that cover most digits and letters; the first of equals."""
+    found = sorted(found, key=lambda f: (f[0], -f[1]))
+    starts = [f[0] for f in found]
+    best, take = [0] * (len(found) + 1), [0] * len(found)
+    for i in reversed(range(len(found))):
+        start, end, _, _ = found[i]
+        after = bisect_left(starts, end)
+        covered = sum(map(str.isalnum, text[start:end])) + best[after]
+        best[i] = max(covered, best[i + 1])
+        take[i] = after if covered == best[i] else 0
+    out, i = [], 0
+    while i < len(found):
+        if take[i]:
+            out.append(found[i])
+        i = take[i] or i + 1
+    return out
 
 
 def replace(text: str, cipher: Cipher) -> tuple[str, list[str]]:
     """The text with pseudonyms, and the spans replaced in the given text."""
-    found: list[tuple[int, int, str, str]] = []
-    if "@" in text:
-        found += [(*m.span(), "email", _email(cipher, m[0])) for m in EMAIL.finditer(text)]
-    taken = [(s, e) for s, e, _, _ in found]
-    at = 0
-    while m := NUMBERS.search(text, at):
-        kind = m.lastgroup if m.lastgroup in MAKERS else "date"
-        made = MAKERS[kind](cipher, m[0])
-        if made is None:
-            # What fails its check may hide a shorter match of another kind.
-            at = m.start() + 1
-            continue
-        if not any(s < m.end() and m.start() < e for s, e in taken):
-            found.append((*m.span(), kind, made))
-        at = m.end()
+    mails = [(*m.span(), "email", _email(cipher, m[0])) for m in EMAIL.finditer(text)
+             ] if "@" in text else []
+    plain, odd = [], []
+    for m in STARTS.finditer(text):
+        for end, kind, made, oddly in _readings(cipher, text, m.start()):
+            (odd if oddly else plain).append((m.start(), end, kind, made))
+    plain = _apart(plain, mails)
+    # An oddly grouped card gives way to whatever else the same digits are; to a phone, which
+    # has no check, only if it has not the sixteen digits of most cards.
+    odd = _apart(odd, mails + [f for f in plain if f[2] != "phone"])
+    phones = [f for f in plain if f[2] == "phone"]
+    odd = [f for f in odd if len(digits_of(text[f[0]:f[1]])) == 16 or _apart([f], phones)]
     out, spans, at = [], [], 0
-    for start, end, kind, made in sorted(found):
+    for start, end, kind, made in sorted(mails + _chosen(plain + odd, text)):
         out += [text[at:start], made]
         spans.append(f"{kind}:{start}:{end}")
         at = end
