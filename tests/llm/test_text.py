@@ -109,6 +109,29 @@ def test_structure_confirms_candidates():
     assert "nested" in kinds(b64(b"password=abcdefghijklmnop"))
 
 
+def test_keys_in_either_alphabet_and_after_a_hexadecimal_prefix():
+    draw = random.Random(8)
+    rsa = bytes.fromhex("300d06092a864886f70d0101010500")
+    for _ in range(50):
+        numbers = der(2, b"\0") + b"".join(der(2, b"\1" + draw.randbytes(60)) for _ in range(8))
+        key = der(0x30, der(2, b"\0") + rsa + der(4, der(0x30, numbers)))
+        safe, plain = (f(key).decode() for f in (base64.urlsafe_b64encode, base64.b64encode))
+        assert set("-_") & set(safe) and set("+/") & set(plain)
+        for text in (safe, safe.rstrip("="), plain, key.hex(), key.hex().upper()):
+            for before in ("", "x ", "key=", "0x", "0X")[:5 if text.lower() == key.hex() else 3]:
+                at = len(before)
+                assert secrets.confirmed_spans(f"{before}{text} y") == [
+                    ("key", at, at + len(text))], before
+        # What only stands beside a standard key is not taken with it.
+        assert ("key", 7, 7 + len(plain)) in secrets.confirmed_spans(f"my_key-{plain}")
+    inner = "ÿþ ~~~ ??? öÿ? password=abcdefghijklmnop"
+    safe = base64.urlsafe_b64encode(inner.encode()).decode()
+    assert set("-_") & set(safe)
+    assert secrets.confirmed_spans(safe) == [("nested", 0, len(safe))]
+    assert secrets.confirmed_spans("0x" + inner.encode().hex()) == [
+        ("nested", 2, 2 + 2 * len(inner.encode()))]
+
+
 def test_secret_digests(spark):
     made = secrets.digests(secrets.scan(odd(spark, [*ODD, (9, "token=abcdefghijkl")]))).collect()
     by_key = {r.doc_id: r for r in made}

@@ -1,7 +1,8 @@
 """Secrets in texts: base patterns, and candidates confirmed by their inner structure.
 
 Base kinds are assignments to a key-like name, access-key ids and hexadecimal runs.  Beyond
-them, long base64 and hexadecimal runs are decoded and reported only if what they hold parses:
+them, long runs of the standard or the URL-safe base64 alphabet or of hexadecimal digits, after
+``0x`` or anything else, are decoded and reported only if what they hold parses:
 
 ``jwt``     a signed token: header and claims are JSON objects and the header names an algorithm
 ``key``     a private key: a DER sequence whose nested lengths add up and whose first members
@@ -36,8 +37,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ that have 16 characters or more
 RUN = re.compile(r"[A-Za-z0-9+/_=.-]{24,}")
 TOKEN = re.compile(r"([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{24,}={0,2}|[A-Za-z0-9_-]{24,}={0,2}")
-WHOLE_HEX = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
+ALPHABETS = (re.compile(r"[A-Za-z0-9+/]{24,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{24,}={0,2}"))
+LONG_HEX = re.compile(r"[0-9a-fA-F]{48,}")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)"
                  r"-----END \1-----")
 DEPTH = 16
@@ -167,6 +168,16 @@ def holds_secret(data: bytes) -> bool:
         PEM.search(inner))
 
 
+def decoded(run: str) -> list[tuple[int, int, bytes]]:
+    """Bounds and bytes of the longest runs of either base64 alphabet and of hexadecimal digits,
+    the longer ones first."""
+    found = {(*m.span(), unbase64(m[0])) for p in ALPHABETS for m in p.finditer(run)}
+    found |= {(*m.span(), bytes.fromhex(m[0])) for m in LONG_HEX.finditer(run)
+              if len(m[0]) % 2 == 0}
+    return sorted(((s, e, data) for s, e, data in found if data),
+                  key=lambda f: (f[0] - f[1], f[0]))
+
+
 def confirmed_spans(text: str) -> list[Span]:
     """Candidates whose decoded structure holds a secret."""
     spans: list[Span] = []
@@ -180,14 +191,12 @@ def confirmed_spans(text: str) -> list[Span]:
         for m in TOKEN.finditer(body):
             if is_signed_token(m[1], m[2]):
                 spans.append(("jwt", start + m.start(), start + m.end()))
-        for m in BASE64.finditer(body):
-            data = unbase64(m[0])
-            views = [data] if data else []
-            if WHOLE_HEX.fullmatch(m[0]):
-                views.append(bytes.fromhex(m[0]))
+        taken: list[Span] = []
+        for at, end, data in decoded(body):
             for kind, holds in (("key", is_key), ("nested", holds_secret)):
-                if any(map(holds, views)):
-                    spans.append((kind, start + m.start(), start + m.end()))
+                if not any(k == kind and s < end and at < e for k, s, e in taken) and holds(data):
+                    taken.append((kind, at, end))
+        spans += [(kind, start + at, start + end) for kind, at, end in taken]
     return spans
 
 
