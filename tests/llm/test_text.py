@@ -173,6 +173,25 @@ def test_pseudonyms_keep_formats_and_link_values():
     assert one("plain words, 12 of them") == ("plain words, 12 of them", [])
 
 
+def test_year_last_dates_of_either_order():
+    cipher = pii.Cipher(b"k")
+    for sep in "-./":
+        made = set()
+        for month, day in ((m, d) for m in range(1, 13) for d in range(13, 29)):
+            for first, last in ((month, day), (day, month)):
+                text = f"{first:02d}{sep}{last:02d}{sep}1999"
+                out, spans = pii.replace(text, cipher)
+                assert spans == ["date:0:10"] and out != text, text
+                a, b, _ = map(int, out.split(sep))
+                # What was the second order of the separator cannot be read in the first.
+                if (sep == "/") == (first == day):
+                    assert (a if sep == "/" else b) > 12, (text, out)
+                made.add((first == day, out))
+        assert len(made) == 2 * 12 * 16
+        for text in (f"13{sep}13{sep}1999", f"12{sep}31{sep}1899", f"12{sep}31{sep}2100"):
+            assert pii.replace(text, cipher) == (text, [])
+
+
 NEIGHBOURS = {
     "email": ["ann.lee@mail.example.org"],
     "iban": ["GB82 WEST 1234 5698 7654 32", "BE68 5390 0754 7034", "ES9121000418450200051332"],

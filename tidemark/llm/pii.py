@@ -9,9 +9,10 @@ A value may stand directly before another: of the readings of a run of digits th
 that pass their checks and cover most of it.
 
 Kinds: ``email``, ``iban``, ``card``, ``phone``, ``ip``, ``ssn``, ``date``.  What fails its
-check stays.  A null text stays null, an empty one empty; texts are treated whole; equal
-texts become equal texts; an empty table stays empty.  All columns are kept.  The two added
-ones, ``n_pii`` and ``pii_spans``, replace columns of those names.
+check stays, and so does a date before 1900 or after 2099.  A null text stays null, an empty
+one empty; texts are treated whole; equal texts become equal texts; an empty table stays empty.
+All columns are kept.  The two added ones, ``n_pii`` and ``pii_spans``, replace columns of
+those names.
 """
 
 from __future__ import annotations
@@ -207,14 +208,15 @@ def _ssn(cipher: Cipher, text: str) -> str | None:
 
 
 def _date(cipher: Cipher, text: str) -> str | None:
-    """Year first, or year last with the day first; with slashes the month is first if it can
-    be.  A date keeps its order, separators and, where it fits, unpadded parts."""
+    """Year first, or year last with the day first where that is a date, else the month; with
+    slashes the month where that is a date, else the day.  A date keeps its order, separators
+    and, where it fits, unpadded parts."""
     sep = next(c for c in text if not c.isdigit())
     parts = [int(p) for p in text.split(sep)]
     if len(text.split(sep)[0]) == 4:
         orders = [(0, 1, 2)]
     else:
-        orders = [(2, 0, 1), (2, 1, 0)] if sep == "/" else [(2, 1, 0)]
+        orders = [(2, 0, 1), (2, 1, 0)] if sep == "/" else [(2, 1, 0), (2, 0, 1)]
     for order in orders:
         try:
             day = date(*(parts[i] for i in order)).toordinal()
@@ -227,8 +229,8 @@ def _date(cipher: Cipher, text: str) -> str | None:
         while True:
             new = FIRST_DAY + cipher.permute(new - FIRST_DAY, count, "date")
             made = date.fromordinal(new)
-            # A day-first date must not read as month first, so walk on where it would.
-            if order != (2, 1, 0) or sep != "/" or made.day > 12:
+            # A date of the second order must not read in the first, so walk on where it would.
+            if order == orders[0] or made.day > 12:
                 break
         values = dict(zip(order, (made.year, made.month, made.day), strict=True))
         padded = all(len(p) >= 2 for p in text.split(sep))
