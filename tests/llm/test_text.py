@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, langid, packing, pii, queries, secrets, sharding, toxicity
+from tidemark.llm.common import hash_below
 
 # Nulls, empty and blank texts, ties, repeated rows, a very long text; ids repeat or lack.
 ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "a b"), (4, "a b"), (None, "x"), (None, None),
@@ -227,6 +228,15 @@ def test_pseudonymise_keeps_rows_and_columns(spark):
     assert sorted(map(repr, ((r[0], r[1]) for r in made.collect()))) == sorted(map(repr, ODD))
 
 
+def test_samples_of_a_very_small_share(spark):
+    def kept(rows, fraction):
+        return spark.range(rows).where(hash_below(fraction, "id")).count()
+
+    assert kept(1000, 0.0) == 0 and kept(1000, 1.0) == 1000 and 200 < kept(1000, 0.25) < 300
+    # Ten rows of 50 million, as 10,000 of 5e10 would be.
+    assert 2 <= kept(50_000_000, 10 / 50_000_000) <= 25
+
+
 def test_language_of_texts(spark):
     french, german = "le chat dort dans la maison ", "der hund schläft in dem haus "
     rows = [(i, f"{french if i % 2 else german} {i}", "fr" if i % 2 else "de") for i in range(200)]

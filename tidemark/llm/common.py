@@ -39,8 +39,9 @@ def share(sampled: int, rows: int) -> float:
 
 
 def hash_below(fraction: float, *columns: str, seed: int = 7) -> Column:
-    """True for about ``fraction`` of all rows, the same ones on every run."""
-    return (F.abs(F.xxhash64(F.lit(seed), *columns) % 1_000_000)) < int(fraction * 1_000_000 + 0.5)
+    """True for about ``fraction`` of all rows, however small, the same ones on every run."""
+    bound = int(fraction * 2 ** 64) - 2 ** 63
+    return F.lit(True) if bound >= 2 ** 63 else F.xxhash64(F.lit(seed), *columns) < F.lit(bound)
 
 
 def shared(spark: SparkSession, made: Any) -> Callable[[], Any]:
