@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import compare
 import corpus_pipeline
 from tidemark.llm import itq, jaccard, topk
 from tidemark.llm.components import connected
@@ -166,6 +167,12 @@ def test_search_equals_brute_force(spark, monkeypatch, block):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_registered_search_equals_its_sql(spark, size):
+    sf = f"/root/testdata/{size}"
+    assert compare.differences(spark, compare.oracle_connection(sf), sf, "op3_topk") is None
+
+
 def test_search_of_nothing_and_of_huge_values(spark):
     assert topk.top_k(search_frame(spark, []), F.lit(True), 5).count() == 0
     huge = topk.top_k(search_frame(spark, [(0, [1e300]), (1, [1e300]), (2, [-1e300])]),

@@ -87,5 +87,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language, op9_packing, op10_jaccard)}
 
 
+# Vectors of null or non-finite components take no part, and a row is not its own candidate.
+TOPK_SQL = """
+WITH given AS (
+    SELECT row_number() OVER () AS place, vec_id,
+           [floor(256 * x::DOUBLE) for x in embedding] AS vector
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+    SELECT q.place, q.vec_id AS query_id, c.vec_id,
+           CAST(list_inner_product(q.vector, c.vector) AS BIGINT) AS score
+    FROM given AS q JOIN given AS c
+      ON len(q.vector) = len(c.vector) AND q.place <> c.place
+    WHERE q.vec_id % 50 = 0),
+ranked AS (
+    SELECT query_id, vec_id, score, CAST(row_number() OVER (
+        PARTITION BY place ORDER BY score DESC, vec_id ASC NULLS LAST) AS INTEGER) AS rank
+    FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_topk": TOPK_SQL}
