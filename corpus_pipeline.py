@@ -24,7 +24,7 @@ from tidemark.llm import jaccard, langid, packing, pii, queries, toxicity
 from tidemark.llm.common import table
 from tidemark.sources.scratch import materialise
 
-LEAST_LANGUAGE = 0.15  # share of a text's n-grams that its language must contain
+LEAST_LANGUAGE = 0.28  # share of a text's n-grams that its language must contain
 
 
 def _placed(docs: DataFrame, column: str = "text") -> tuple[DataFrame, str]:

@@ -202,6 +202,25 @@ def test_duplicate_stage_keeps_one_of_each_group(spark):
     assert sets
 
 
+FOREIGN = [
+    "Il gatto dorme sul divano e il cane mangia in cucina con i bambini.",
+    "Kissa nukkuu sohvalla ja koira syö keittiössä lasten kanssa.",
+    "Kot śpi na kanapie, a pies je w kuchni razem z dziećmi.",
+    "Yarın ekmek ve peynir almak için pazara gideceğiz.",
+    "Pisica doarme pe canapea și câinele mănâncă în bucătărie cu copiii."]
+
+
+def test_language_stage_drops_other_languages_only(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(
+        "doc_id", "text", "lang")
+    foreign = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(FOREIGN)],
+                                    docs.schema)
+    kept = corpus_pipeline.language(spark, docs.union(foreign), "").select("doc_id")
+    lettered = docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id")
+    assert [r.doc_id for r in lettered.exceptAll(kept).collect()] == []
+    assert [r.doc_id for r in kept.exceptAll(lettered).collect()] == []
+
+
 def test_pipeline_of_small_and_empty_tables(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
