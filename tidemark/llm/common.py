@@ -10,10 +10,12 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.scratch import materialise
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -44,6 +46,27 @@ def hash_below(fraction: float, *columns: str, seed: int = 7) -> Column:
     return F.lit(True) if bound >= 2 ** 63 else F.xxhash64(F.lit(seed), *columns) < F.lit(bound)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str, label: str) -> DataFrame:
+    """The rows of a frame and their place in an order, from 0 without gaps.
+
+    Rows are dealt into sorted ranges, written, and numbered by their place in the range and
+    the rows of the ranges before; of those one row for each task meets in one task.  The
+    ranges are found by a sample, so a costly ``df`` is better materialised.
+    """
+    placed = materialise(
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("__place", F.monotonically_increasing_id()), label)
+    part = F.shiftright("__place", 33)
+    ranges = placed.groupBy(part.alias("__part")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("__place").alias("__first"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("__part", "__first", F.coalesce(
+        F.sum("rows").over(before), F.lit(0)).alias("__before"))
+    return (placed.withColumn("__part", part).join(F.broadcast(ranges), "__part")
+            .withColumn(name, F.col("__before") + F.col("__place") - F.col("__first"))
+            .drop("__part", "__place", "__first", "__before"))
+
+
 def shared(spark: SparkSession, made: Any) -> Callable[[], Any]:
     """Broadcast an object of bounded size, by value; the function returns it in a task."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(made))

@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, itq, jaccard, langid, packing, pii, secrets, sharding, topk, toxicity
+from tidemark.llm import (
+    bpe, itq, jaccard, langid, packing, pii, resample, secrets, sharding, topk, toxicity,
+)
 from tidemark.llm.common import held_out, table
 
 SHARDS = 16
 PII_KEY = b"tidemark-demonstration-key"
 TOXIC = 0.3
+PERCENT = 25
 SPECIAL = {"<|endoftext|>": 50256}
 
 
@@ -81,10 +84,16 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), PERCENT).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe, op2_sharding, op3_topk, op4_pii, op5_secrets, op6_toxicity, op7_itq,
-        op8_language, op9_packing, op10_jaccard)}
+        op8_language, op9_packing, op10_jaccard, op12_resample)}
 
 
 # Vectors of null or non-finite components take no part, and a row is not its own candidate.
