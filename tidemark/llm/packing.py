@@ -31,6 +31,7 @@ TIERS = (1024, 512, 256, 128, 64)
 STEP_TOKENS = 65_536
 POOL = 2048
 ROWS_OUT = 4096
+LONG_RUN = 4000  # characters; the fast encoder takes time by the square of a word's length
 
 
 class Packer:
@@ -122,7 +123,33 @@ def encoding(path: str, special: dict[str, int], pattern: str):
                              special_tokens=special)
 
 
-def pack(df: DataFrame, vocabulary: str, pattern: str, special: dict[str, int], end_id: int = 0,
+def has_long_run(text: str, size: int = LONG_RUN) -> bool:
+    """True if ``size`` characters in a row are all white space or all none: they then cover a
+    stretch of half that size that starts at a multiple of it, and holds one word at most."""
+    half = size // 2
+    return any(len(text[at:at + half].split(None, 2)) <= 1
+               for at in range(0, len(text) - half + 1, half))
+
+
+def encoder(vocabulary: str, pattern: str, special: dict[str, int], slow: str):
+    """The ids of a text.  Long runs overflow the fast encoder's matcher or take it too long, so
+    texts that hold one are encoded by the library whose file ``slow`` is, to the same ids."""
+    from tokenizers import Tokenizer
+
+    fast, full = encoding(vocabulary, special, pattern), Tokenizer.from_file(slow)
+
+    def encode(text: str) -> np.ndarray:
+        if not has_long_run(text):
+            return fast.encode_to_numpy(text, allowed_special="all")
+        full.no_truncation()
+        full.no_padding()
+        return np.array(full.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    return encode
+
+
+def pack(df: DataFrame, vocabulary: str, pattern: str, special: dict[str, int], slow: str,
+         end_id: int = 0,
          tiers: Sequence[int] = TIERS, step_tokens: int = STEP_TOKENS, key: str = "doc_id",
          text: str = "text") -> DataFrame:
     """One row for each piece, with its ids, window and step group."""
@@ -134,13 +161,13 @@ def pack(df: DataFrame, vocabulary: str, pattern: str, special: dict[str, int],
         ("tier", pa.int32()), ("step_group", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = per_worker(f"ranks {vocabulary}", lambda: encoding(
-            vocabulary, special, pattern)).encode_to_numpy
+        encode = per_worker(f"ranks {vocabulary}", lambda: encoder(
+            vocabulary, pattern, special, slow))
         packer = Packer(tiers, step_tokens, TaskContext.get().partitionId())
         end = np.array([end_id], np.uint32)
         for batch in batches:
             for name, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = encode(body, allowed_special="all") if body else end[:0]
+                ids = encode(body) if body else end[:0]
                 packer.add(name, np.concatenate([ids, end]))
                 yield from packer.batches(ROWS_OUT, schema)
         packer.pack(last=True)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, itq, jaccard, langid, packing, pii, resample, secrets, sharding, topk, toxicity,
+    bpe, fingerprints, hardneg, itq, jaccard, langid, packing, pii, resample, secrets, sharding,
+    topk, toxicity,
 )
 from tidemark.llm.common import held_out, table
 
@@ -73,7 +74,7 @@ def pack_documents(documents: DataFrame) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(documents, tokenizer("byte_bpe_50k.tiktoken"),
-                        public_tokenizers.PATTERN, SPECIAL)
+                        public_tokenizers.PATTERN, SPECIAL, tokenizer("byte_bpe_50k.json"))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,16 +85,26 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), PERCENT).select(
         "doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edits(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe, op2_sharding, op3_topk, op4_pii, op5_secrets, op6_toxicity, op7_itq,
-        op8_language, op9_packing, op10_jaccard, op12_resample)}
+        op8_language, op9_packing, op10_jaccard, op11_hard_negatives, op12_resample,
+        op13_fingerprints)}
 
 
 # Vectors of null or non-finite components take no part, and a row is not its own candidate.
@@ -117,6 +128,38 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+HARD_NEGATIVES_SQL = """
+WITH given AS (
+    SELECT row_number() OVER () AS place, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) for x in embedding] AS vector
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+pairs AS (
+    SELECT a.place, a.vec_id AS anchor_id, r.place AS other, r.vec_id, a.label = r.label AS same,
+           CAST(list_inner_product(a.vector, r.vector) AS BIGINT) AS score
+    FROM given AS a JOIN given AS r
+      ON len(a.vector) = len(r.vector) AND a.place <> r.place
+    WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (
+            PARTITION BY place ORDER BY score DESC, vec_id ASC NULLS LAST) AS n
+        FROM pairs WHERE same)
+    WHERE n <= 5),
+ranked AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+           CAST(row_number() OVER (PARTITION BY p.place, p.other
+                ORDER BY n.score DESC, n.vec_id ASC NULLS LAST) AS INTEGER) AS rank,
+           p.score AS positive_score, n.score AS negative_score
+    FROM positives AS p JOIN pairs AS n
+      ON p.place = n.place AND NOT n.same
+     AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": TOPK_SQL}
+    return {"op3_topk": TOPK_SQL, "op11_hard_negatives": HARD_NEGATIVES_SQL}
