@@ -8,8 +8,13 @@ every document, however they are spaced or dashed, and different values differen
 A value may stand directly before another: of the readings of a run of digits those are taken
 that pass their checks and cover most of it.
 
-Kinds: ``email``, ``iban``, ``card``, ``phone``, ``ip``, ``ssn``, ``date``.  What fails its
-check stays, and so does a date before 1900 or after 2099.  A null text stays null, an empty
+Kinds: ``email``, ``iban``, ``card``, ``phone``, ``ip``, ``ssn``, ``date``.  Decimal digits of
+any script count; a pseudonym is written in the script of the value's first digit, and values
+that differ in script alone stay linked.  A phone number keeps its country code and length; with
+or without a trunk ``(0)`` it is the same number.  What fails its check stays, and so do a date
+before 1900 or after 2099, a date written out or with a two-digit year, an account in lower case,
+a national number without its code other than a North American one, and an address behind a
+``v``, which is a version.  Searches take time in proportion to the text, whatever it holds.  A null text stays null, an empty
 one empty; texts are treated whole; equal texts become equal texts; an empty table stays empty.
 All columns are kept.  The two added ones, ``n_pii`` and ``pii_spans``, replace columns of
 those names.
@@ -19,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 from datetime import date
@@ -30,19 +36,22 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import add_columns
 
 ROUNDS = 10
+PIECE = 320  # characters, as many as an address may have
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
-STARTS = re.compile(r"\d+|\+(?=\d)|\((?=\d)|[A-Z]{2}(?=\d\d)")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+BEFORE_AT = re.compile(r"[A-Za-z0-9._%+-]*")
+FOREIGN_DIGIT = re.compile(r"(?![0-9])\d")
+STARTS = re.compile(r"\d+|\+(?=\d)|\((?=\d)|[A-Z]{2}(?=\d\d)", re.A)
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
-                  r"(?![A-Za-z0-9])")
+                  r"(?![A-Za-z0-9])", re.A)
 DATE = re.compile(r"(?<![\d./-])(?:\d{4}(?P<a>[-/.])\d{1,2}(?P=a)\d{1,2}"
-                  r"|\d{1,2}(?P<b>[-/.])\d{1,2}(?P=b)\d{4})(?!\d|[./-]\d)")
-IP = re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)")
-SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!\d|-\d)")
-CARD = re.compile(r"(?<![\dA-Za-z])\d(?:[ -]?\d){12,18}(?![\dA-Za-z])")
+                  r"|\d{1,2}(?P<b>[-/.])\d{1,2}(?P=b)\d{4})(?!\d|[./-]\d)", re.A)
+IP = re.compile(r"(?<![\d.vV])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)", re.A)
+SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!\d|-\d)", re.A)
+CARD = re.compile(r"(?<![\dA-Za-z])\d(?:[ -]?\d){12,18}(?![\dA-Za-z])", re.A)
 PHONE = re.compile(r"\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)"
-                   r"|(?<![\d.(+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d|[.-]\d)")
+                   r"|(?<![\d.(+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d|[.-]\d)", re.A)
 # How the digits of a card are grouped, if at all.
 CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)}
 IBAN_SIZES = {p[:2]: int(p[2:]) for p in (
@@ -121,7 +130,17 @@ def iban_rest(account: str) -> int:
 
 
 def letters(cipher: Cipher, text: str, tweak: str) -> str:
-    """ASCII letters and digits replaced by others of their class; all else stays."""
+    """ASCII letters and digits replaced by others of their class; all else stays.
+
+    A long text is permuted piece by piece, each under a digest of what stands before it, as
+    whole numbers of a million digits would take too long.
+    """
+    if len(text) > PIECE:
+        seen, out = hashlib.blake2b(), []
+        for at in range(0, len(text), PIECE):
+            out.append(letters(cipher, text[at:at + PIECE], f"{tweak} {seen.hexdigest()}"))
+            seen.update(text[at:at + PIECE].encode())
+        return "".join(out)
     value, n = 0, 1
     classes = []
     for c in text:
@@ -167,21 +186,25 @@ def _iban(cipher: Cipher, text: str) -> str | None:
     return "".join(c if c == " " else next(given) for c in text)
 
 
+def country_code(digits: str) -> str:
+    """The code at the start of an international number; those not listed have three digits."""
+    return next((digits[:n] for n in (1, 2, 3) if digits[:n] in PLANS), digits[:3])
+
+
 def _phone(cipher: Cipher, text: str) -> str | None:
-    """The country code stays; the national number changes."""
-    digits = digits_of(text)
-    if text.startswith("+"):
-        code = "1" if digits.startswith("1") else digits[:2]
-        rest = digits[len(code):]
-    else:
-        code, rest = "", digits
-    if not 8 <= len(digits) <= 15 or not rest:
+    """The country code and a trunk zero in brackets stay; the national number changes."""
+    head, trunk, tail = text.partition("(0)") if text.startswith("+") else (text, "", "")
+    digits = digits_of(head + tail)
+    code = country_code(digits) if text.startswith("+") else ""
+    rest = digits[len(code):]
+    if not 8 <= len(digits) <= 15 or not rest or len(digits_of(head)) < len(code):
         return None
     # A North American number without its code is the same number.
     tweak = "phone 1" if code == "1" or (not code and len(rest) == 10) else f"phone {code}"
     size = len(rest)
-    return put_digits(text, code + str(
-        cipher.permute(int(rest), 10 ** size, f"{tweak} {size}")).zfill(size))
+    made = code + str(cipher.permute(int(rest), 10 ** size, f"{tweak} {size}")).zfill(size)
+    split = len(digits_of(head))
+    return put_digits(head, made[:split]) + trunk + put_digits(tail, made[split:])
 
 
 def _ip(cipher: Cipher, text: str) -> str | None:
@@ -248,9 +271,9 @@ def borders(text: str) -> list[int]:
 
 def _in_plan(text: str) -> bool:
     digits = digits_of(text)
-    code = next((digits[:n] for n in (1, 2, 3) if digits[:n] in PLANS), None)
+    code = country_code(digits)
     low, high = PLANS.get(code, (0, 15))
-    return low <= len(digits) - len(code or "") - ("(0)" in text) <= high
+    return low <= len(digits) - len(code) - ("(0)" in text) <= high
 
 
 def _card_rank(text: str) -> tuple[bool, bool, int]:
@@ -328,10 +351,39 @@ def _chosen(found: list[tuple[int, int, str, str]], text: str) -> list[tuple[int
     return out
 
 
+def _mails(text: str) -> Iterator[tuple[int, int]]:
+    """Bounds of addresses: a domain behind an ``@``, and what of a local part stands before."""
+    floor, at = 0, text.find("@")
+    while at >= 0:
+        domain = DOMAIN.match(text, at + 1)
+        if domain:
+            start = at - BEFORE_AT.match(text[floor:at][::-1]).end()
+            if start < at:
+                yield start, domain.end()
+                floor = domain.end()
+        floor, at = max(floor, at + 1), text.find("@", at + 1)
+
+
+def _in_script_of(made: str, given: str) -> str:
+    """ASCII digits in the script of the first digit of the given value."""
+    first = next(filter(str.isdecimal, given), "0")
+    zero = ord(first) - unicodedata.decimal(first)
+    return made if zero == ord("0") else "".join(
+        chr(zero + int(c)) if c.isdecimal() else c for c in made)
+
+
 def replace(text: str, cipher: Cipher) -> tuple[str, list[str]]:
     """The text with pseudonyms, and the spans replaced in the given text."""
-    mails = [(*m.span(), "email", _email(cipher, m[0])) for m in EMAIL.finditer(text)
-             ] if "@" in text else []
+    if not text.isascii() and FOREIGN_DIGIT.search(text):
+        folded = FOREIGN_DIGIT.sub(lambda m: str(unicodedata.decimal(m[0])), text)
+        return _replaced(text, folded, cipher)
+    return _replaced(text, text, cipher)
+
+
+def _replaced(given: str, text: str, cipher: Cipher) -> tuple[str, list[str]]:
+    """``text`` is the given text with all digits ASCII."""
+    mails = [(start, end, "email", _email(cipher, text[start:end]))
+             for start, end in _mails(text)]
     plain, odd = [], []
     for m in STARTS.finditer(text):
         for end, kind, made, oddly in _readings(cipher, text, m.start()):
@@ -344,10 +396,10 @@ def replace(text: str, cipher: Cipher) -> tuple[str, list[str]]:
     odd = [f for f in odd if len(digits_of(text[f[0]:f[1]])) == 16 or _apart([f], phones)]
     out, spans, at = [], [], 0
     for start, end, kind, made in sorted(mails + _chosen(plain + odd, text)):
-        out += [text[at:start], made]
+        out += [given[at:start], _in_script_of(made, given[start:end])]
         spans.append(f"{kind}:{start}:{end}")
         at = end
-    return "".join([*out, text[at:]]), spans
+    return "".join([*out, given[at:]]), spans
 
 
 def pseudonymise(df: DataFrame, key: bytes, text: str = "text") -> DataFrame:

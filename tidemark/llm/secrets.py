@@ -8,7 +8,11 @@ them, long runs of the standard or the URL-safe base64 alphabet or of hexadecima
 ``key``     a private key: a DER sequence whose nested lengths add up and whose first members
             are those of an RSA, EC or PKCS#8 key, or an OpenSSH key with consistent fields
 ``pem``     a PEM block of a private key whose body is such a key
-``nested``  encoded text that holds a base assignment or access-key id
+``nested``  encoded text that holds a base assignment, an access-key id or, up to ``NESTING``
+            levels down, any of the kinds above
+
+A signed token is looked for among every three neighbouring segments of a dotted run, so names
+before it do not hide it.  All searches take time in proportion to the text, whatever it holds.
 
 Spans are in code points, end exclusive, ordered by start, then by kind as listed in
 ``KINDS``, then by end.  A null text counts as empty; an empty text has no spans; texts are
@@ -22,6 +26,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,12 +41,13 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ that have 16 characters or more
 RUN = re.compile(r"[A-Za-z0-9+/_=.-]{24,}")
-TOKEN = re.compile(r"([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
+URL_SAFE = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
 ALPHABETS = (re.compile(r"[A-Za-z0-9+/]{24,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{24,}={0,2}"))
 LONG_HEX = re.compile(r"[0-9a-fA-F]{48,}")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)"
                  r"-----END \1-----")
 DEPTH = 16
+NESTING = 3
 
 Span = tuple[str, int, int]
 
@@ -158,14 +164,28 @@ def is_signed_token(header: str, claims: str) -> bool:
     return bool(head) and isinstance(head.get("alg"), str) and _object(claims) is not None
 
 
-def holds_secret(data: bytes) -> bool:
-    """Encoded plain text with a base assignment or access-key id."""
+def holds_secret(data: bytes, level: int) -> bool:
+    """Encoded plain text with a base assignment, an access-key id or a confirmed secret."""
     try:
         inner = data.decode("utf-8")
     except UnicodeDecodeError:
         return False
     return any(kind != "hex" for kind, _, _ in base_spans(inner)) or bool(
-        PEM.search(inner))
+        PEM.search(inner)) or level < NESTING and bool(confirmed_spans(inner, level))
+
+
+def signed_tokens(run: str) -> Iterator[tuple[int, int]]:
+    """Bounds of signed tokens among the dotted parts of a run: the end of one, a whole one and
+    the start of a third."""
+    parts, at, last = run.split("."), 0, 0
+    for i in range(len(parts) - 2):
+        first, second, third = parts[i:i + 3]
+        header = len(first.rstrip(URL_SAFE))
+        if (at + header >= last and len(first) - header >= 8 and len(second) >= 2
+                and not second.strip(URL_SAFE) and is_signed_token(first[header:], second)):
+            last = at + len(first) + len(second) + 2 + len(third) - len(third.lstrip(URL_SAFE))
+            yield at + header, last
+        at += len(first) + 1
 
 
 def decoded(run: str) -> list[tuple[int, int, bytes]]:
@@ -178,8 +198,16 @@ def decoded(run: str) -> list[tuple[int, int, bytes]]:
                   key=lambda f: (f[0] - f[1], f[0]))
 
 
-def confirmed_spans(text: str) -> list[Span]:
-    """Candidates whose decoded structure holds a secret."""
+def _free(taken: list[tuple[int, int]], start: int, end: int) -> int | None:
+    """Where a span goes among sorted ones that it does not overlap, else None."""
+    i = bisect_left(taken, (start, end))
+    before, after = taken[i - 1:i], taken[i:i + 1]
+    clash = before and before[0][1] > start or after and after[0][0] < end
+    return None if clash else i
+
+
+def confirmed_spans(text: str, level: int = 0) -> list[Span]:
+    """Candidates whose decoded structure holds a secret; ``level`` encodings further in."""
     spans: list[Span] = []
     if "-----BEGIN " in text:
         for found in PEM.finditer(text):
@@ -188,15 +216,16 @@ def confirmed_spans(text: str) -> list[Span]:
                 spans.append(("pem", *found.span()))
     for run in RUN.finditer(text):
         start, body = run.start(), run[0]
-        for m in TOKEN.finditer(body):
-            if is_signed_token(m[1], m[2]):
-                spans.append(("jwt", start + m.start(), start + m.end()))
-        taken: list[Span] = []
+        spans += [("jwt", start + at, start + end) for at, end in signed_tokens(body)]
+        taken: dict[str, list[tuple[int, int]]] = {"key": [], "nested": []}
         for at, end, data in decoded(body):
-            for kind, holds in (("key", is_key), ("nested", holds_secret)):
-                if not any(k == kind and s < end and at < e for k, s, e in taken) and holds(data):
-                    taken.append((kind, at, end))
-        spans += [(kind, start + at, start + end) for kind, at, end in taken]
+            for kind, own in taken.items():
+                i = _free(own, at, end)
+                if i is not None and (
+                        is_key(data) if kind == "key" else holds_secret(data, level + 1)):
+                    own.insert(i, (at, end))
+        spans += [(kind, start + at, start + end) for kind, own in taken.items()
+                  for at, end in own]
     return spans
 
 
