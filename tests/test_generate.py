@@ -92,7 +92,7 @@ def test_tables_are_declared_with_comments_and_partitions(spark, database):
         spark, SMALL, f"{database}.employee", f"{database}.department")
     columns = {c.name: c for c in spark.catalog.listColumns(employee)}
     assert [n for n, c in columns.items() if c.isPartition] == list(EMPLOYEE.partition_by)
-    assert columns["employee_id"].description == "Grain; unique key of the merge"
+    assert columns["employee_id"].description == EMPLOYEE.schema["employee_id"].metadata["comment"]
     assert columns["employee_id_bucket"].dataType == "int"
     assert spark.catalog.getTable(employee).description == EMPLOYEE.comment
     assert spark.table(department).count() == SMALL.departments

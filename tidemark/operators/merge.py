@@ -8,15 +8,16 @@ only the touched partitions rewritten (``move_partitions``).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import (
     BROADCAST_LIMIT, FanOutError, many_to_one_join, measure_side, sized_join,
 )
-from tidemark.sources.scratch import materialise
+from tidemark.sources.scratch import materialise, scratch_folder
 from tidemark.sources.writers import by_partition, quoted
 
 
@@ -105,18 +106,32 @@ def touched_partitions(target: DataFrame, updates: DataFrame, key: str,
     return hit.select(F.explode(F.array(before, after)).alias("p")).select("p.*").distinct()
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "dynamic")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+def held_partitions(updates: DataFrame, target: DataFrame, assign: Mapping[str, str],
+                    held: Mapping[str, str]) -> DataFrame:
+    """The same from the updates alone, whose ``held`` columns say where their rows lie now."""
+    before = F.struct(*[F.col(now).alias(c) for c, now in held.items()])
+    after = F.struct(*[F.col(assign.get(c, now)).cast(target.schema[c].dataType).alias(c)
+                       for c, now in held.items()])
+    return updates.select(F.explode(F.array(before, after)).alias("p")).select("p.*").distinct()
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(and_, [left[key].eqNullSafe(right[key]) for key in keys])
+
+
+def within(df: DataFrame, partitions: DataFrame) -> DataFrame:
+    """Rows of the given partitions, a row each.
+
+    The keys are broadcast, as one struct each, and prune the scan at run time: no other partition
+    is read, not even one that shares each single key with some of them, and no list of keys
+    passes through the plan.  Null keys compare as equal inside a struct.  The count is what tells
+    the optimiser that the keys select; without a condition on them it does not prune.
+    """
+    keys = partitions.columns
+    some = partitions.groupBy(F.struct(*keys).alias("__partition")).agg(
+        F.count("*").alias("__rows")).where("__rows > 0")
+    return df.join(F.broadcast(some), F.struct(*[df[key] for key in keys]) == F.col("__partition"),
+                   "left_semi")
 
 
 def _partition_spec(row: Row) -> str:
@@ -125,40 +140,50 @@ def _partition_spec(row: Row) -> str:
     return ", ".join(f"`{name}` = {value}" for name, value in values.items())
 
 
-def within(df: DataFrame, partitions: Sequence[Row]) -> DataFrame:
-    """Rows of the given partitions; the condition holds on directory names alone, so no
-    other partition is read.  Null keys compare as equal inside a struct."""
-    keys = partitions[0].__fields__
-    return df.filter(F.struct(*keys).isin(*[
-        F.struct(*[F.lit(row[key]).cast(df.schema[key].dataType).alias(key) for key in keys])
-        for row in partitions]))
+def _overwriting_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings in which an overwrite replaces only what it writes to."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    return own
 
 
 def move_partitions(spark: SparkSession, table: str, updates: DataFrame, key: str,
                     assign: Mapping[str, str], partition_by: Sequence[str],
-                    sort_by: Sequence[str] = ()) -> int:
+                    sort_by: Sequence[str] = (), held: Mapping[str, str] | None = None) -> int:
     """Partial update of a partitioned catalog table, rewriting only what it touches.
 
     A row whose partition key changes leaves one directory for another, so the partitions
     of both its old and its new key are rewritten; one that ends up empty receives no
-    write and has to be dropped instead.  New contents are first written to the shared
-    scratch folder: the table is never overwritten while it is being read, and a lost
-    executor costs a task, not the table.  Returns the number of partitions touched.
+    write and has to be dropped instead.  ``held`` names, for each partition column, the column
+    of the updates that says where the row lies now; the table is then read in those partitions
+    alone.  Without it the keys of the whole table are read to find them.
+
+    New contents are first written to the shared scratch folder: the table is never overwritten
+    while it is being read, and a lost executor costs a task, not the table.  The emptied
+    partitions go in one statement after the others are in place, so a failure in between leaves
+    rows that can be seen twice, but none is lost.  Returns the number of partitions touched.
     """
     target = spark.table(table)
     frozen = materialise(updates, "updates")
-    # bounded by the table's number of partitions, which its catalog entry lists as well
-    touched = touched_partitions(target, frozen, key, assign, partition_by).collect()
-    if not touched:
+    touched = materialise(
+        held_partitions(frozen, target, assign, held).select(*partition_by) if held
+        else touched_partitions(target, frozen, key, assign, partition_by), "touched")
+    count = touched.count()
+    if not count:
         return 0
-    rewritten = materialise(
-        partial_update(within(target, touched), frozen, key, assign), "rewrite")
-    with _dynamic_overwrite(spark):
-        by_partition(rewritten, partition_by, sort_by).select(target.columns).write.mode(
-            "overwrite").insertInto(table)
-    filled = {tuple(r) for r in rewritten.select(*partition_by).distinct().collect()}
-    for row in touched:
-        if tuple(row) not in filled:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_spec(row)})")
+    path = scratch_folder(spark, "rewrite")
+    partial_update(within(target, touched), frozen, key, assign).write.parquet(path)
+    rewritten = spark.read.schema(target.schema).parquet(path)
+    moved = _overwriting_session(spark).read.schema(target.schema).parquet(path)
+    by_partition(moved, partition_by, sort_by).select(target.columns).write.mode(
+        "overwrite").insertInto(table)
+    filled = rewritten.select(*partition_by).distinct()
+    emptied = touched.join(filled, _same(touched, filled, partition_by), "left_anti").collect()
+    if emptied:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(
+            f"PARTITION ({_partition_spec(row)})" for row in emptied))
     spark.catalog.refreshTable(table)
-    return len(touched)
+    return count

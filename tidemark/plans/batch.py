@@ -21,6 +21,8 @@ MOVE = {
     "department_name": "new_department_name",
     "updated_at": "new_updated_at",
 }
+# Where a moved row lies before: {partition column: column of the moved row}
+HELD = {column: f"old_{column}" for column in EMPLOYEE.partition_by}
 
 
 def next_id(df: DataFrame, key: str, start: int) -> int:
@@ -47,9 +49,12 @@ def new_rows(fact: DataFrame, dimension: DataFrame, config: GenerationConfig,
 
 
 def moved_rows(fact: DataFrame, dimension: DataFrame, batch: BatchConfig) -> DataFrame:
-    """Employees that change department: a repeatable sample of the rows before the anchor."""
+    """Employees that change department: a repeatable sample of the rows before the anchor.
+
+    They carry the partition they lie in, so nothing else of the fact is read to move them.
+    """
     eligible = fact.filter(F.col("updated_at") < anchor(batch.asof)).select(
-        "employee_id", "department_number")
+        "employee_id", *[F.col(column).alias(old) for column, old in HELD.items()])
     movers = hash_order_sample(eligible, "employee_id", batch.updated_rows)
     key = id_key("employee_id")
 
@@ -59,7 +64,7 @@ def moved_rows(fact: DataFrame, dimension: DataFrame, batch: BatchConfig) -> Dat
         if n < 2:
             raise ValueError("a forced move needs at least two departments")
         step = draw(key, v.SALT_MOVE_KEY, n - 1) + 1
-        return F.pmod(F.col("department_number") - 1 + step, F.lit(n)) + 1
+        return F.pmod(F.col("old_department_number") - 1 + step, F.lit(n)) + 1
 
     placed = computed_key_join(
         movers,
@@ -69,7 +74,7 @@ def moved_rows(fact: DataFrame, dimension: DataFrame, batch: BatchConfig) -> Dat
         "new_department_number", destination,
         ["new_department_number", "new_department_name"])
     return placed.select(
-        "employee_id", "new_department_number", "new_department_name",
+        "employee_id", *HELD.values(), "new_department_number", "new_department_name",
         minutes_after(anchor(batch.asof), key, v.SALT_MOVE_UPDATED, batch.span_minutes)
         .alias("new_updated_at"),
     )
@@ -91,4 +96,4 @@ def land_batch(spark: SparkSession, employee_table: str, department_table: str,
                 sort_by=["updated_at"])
     moves = moved_rows(fact(), dimension, batch)
     return move_partitions(spark, employee_table, moves, "employee_id", MOVE,
-                           EMPLOYEE.partition_by, sort_by=["updated_at"])
+                           EMPLOYEE.partition_by, sort_by=["updated_at"], held=HELD)

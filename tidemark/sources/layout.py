@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLUSTERED_BY = "tidemark.clustered_by"
+
 
 def analyze(spark: SparkSession, *tables: str) -> None:
     """Column statistics for the optimiser.
@@ -20,7 +22,15 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
 def clustering_columns(spark: SparkSession, table: str) -> list[str]:
+    """What a table is clustered by; a view over clustered rows names it in a property."""
+    named = table_properties(spark, table).get(CLUSTERED_BY)
+    if named:
+        return named.split(",")
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()  # one row per column
     names = [row.col_name for row in described]
     if "# Clustering Information" not in names:

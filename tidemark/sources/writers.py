@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.layout import clustering_columns
+from tidemark.sources.scratch import materialise
 from tidemark.sources.tables import TableSpec, conform
 
 # A task sorts and writes about this many rows (100 to 200 MB as a rule) at any size of the
@@ -19,10 +20,9 @@ from tidemark.sources.tables import TableSpec, conform
 ROWS_PER_FILE = 2_000_000
 MAX_TASKS = 100_000
 
-# Groups of rows are placed one by one while there are no more than this many of them and
-# their keys, which are broadcast, stay this small.
-MAX_GROUPS = 50_000
-MAX_GROUP_BYTES = 32 * 1024 * 1024
+# A group of at least this share of a task's rows gets a place of its own.  There are no more of
+# them than this many for each task, which bounds what is broadcast.
+PLACED = 4
 
 SMALLEST_FILE = 100_000
 
@@ -45,117 +45,95 @@ def _rows_per_task(spark: SparkSession, rows: int, most: int, least: int) -> int
 
 
 @dataclass(frozen=True)
-class Groups:
-    """How many rows there are, and how many per key in key order; the latter only while
-    the keys are few enough to place singly."""
-
-    rows: int
-    sizes: Sequence[Row] | None
-
-
-def _key_order(row: Row) -> list:
-    """The order Spark sorts keys in: nulls first, text by its bytes."""
-    return [(value is not None, value.encode() if isinstance(value, str) else value or 0)
-            for value in row]
-
-
-def count_groups(df: DataFrame, keys: Sequence[str]) -> Groups:
-    """Count rows per key, reading the key columns only."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
-    found = counts.limit(MAX_GROUPS + 1).collect()
-    width = sum(len(str(value)) for row in found for value in row)
-    if len(found) > MAX_GROUPS or width > MAX_GROUP_BYTES:
-        return Groups(counts.agg(F.sum("__rows")).first()[0], None)
-    return Groups(sum(row["__rows"] for row in found), sorted(found, key=_key_order))
-
-
-def count_few_groups(df: DataFrame, keys: Sequence[str]) -> Groups:
-    """The same for keys that may well be many: an estimate, which shuffles nothing, rules
-    those out before their values are brought together in vain."""
-    seen = df.agg(F.approx_count_distinct(F.struct(*keys)).alias("keys"),
-                  F.count("*").alias("rows")).first()
-    return Groups(seen["rows"], None) if seen["keys"] > MAX_GROUPS else count_groups(df, keys)
-
-
-def _place(sizes: Sequence[Row], rows_per_task: int, rows_per_file: int) -> tuple[list, int]:
-    """Tasks for groups in their order: small neighbours share one, a group that exceeds a
-    file gets several of its own.  Returns (key..., first task, number of tasks) and how
-    many tasks there are."""
-    placed, task, filled = [], 0, 0
-    for *key, rows in sizes:
-        several = -(-rows // rows_per_file)
-        if filled and (several > 1 or filled + rows > rows_per_task):
-            task, filled = task + 1, 0
-        placed.append((*key, task, several))
-        if several > 1:
-            task += several
-        else:
-            filled += rows
-    return placed, task + (1 if filled else 0)
-
-
-def grouped(df: DataFrame, keys: Sequence[str], groups: Groups, rows_per_file: int,
-            least: int) -> DataFrame:
-    """Shuffle rows so that each group lies in one task, or in several if it is that large.
-
-    Groups get their tasks by number: in key order, evenly filled, without sampling the
-    rows and without leaving to chance which groups meet.
+class Slots:
+    """Where groups go.  ``placed`` holds the first slot and the number of slots of each group
+    that has a place of its own; the others go by their hash to the ``loose`` last ones."""
+
+    placed: DataFrame
+    own: int
+    loose: int
+
+    @property
+    def all(self) -> int:
+        return self.own + self.loose
+
+
+def group_slots(df: DataFrame, keys: Sequence[str], rows_per_file: int,
+                counts: DataFrame | None = None) -> Slots:
+    """Slots for the groups of a frame, from one count that reads the keys only, unless the
+    ``counts`` of ``__rows`` for each key are known (about) already.
+
+    The counts stay a frame.  A group of more rows than a file holds gets as many slots as it
+    fills; smaller ones of some size follow one another in key order, by a running sum, and share
+    slots with their neighbours; what is smaller still is scattered evenly by its hash.
     """
-    spark = df.sparkSession
-    per_file = max(rows_per_file, -(-groups.rows // MAX_TASKS))
-    per_task = _rows_per_task(spark, groups.rows, per_file, least)
-    placed, tasks = _place(groups.sizes, per_task, per_file)
-    if tasks <= 1:
+    if counts is None:
+        counts = df.groupBy(*keys).agg(F.count("*").alias("__rows"))
+    counts = materialise(counts, "groups")
+    rows = counts.agg(F.coalesce(F.sum("__rows"), F.lit(0))).first()[0]
+    per_file = max(rows_per_file, -(-rows // MAX_TASKS))
+    per_task = _rows_per_task(df.sparkSession, rows, per_file, 1)
+    several = F.ceil(F.col("__rows") / F.lit(per_file))
+    weight = F.when(several > 1, several * per_task).otherwise(F.col("__rows"))
+    large = F.col("__rows") * PLACED >= per_task
+    filled, rest = counts.agg(F.coalesce(F.sum(F.when(large, weight)), F.lit(0)),
+                              F.coalesce(F.sum(F.when(~large, F.col("__rows"))), F.lit(0))).first()
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.floor(F.coalesce(F.sum(weight).over(before), F.lit(0)) / per_task)
+    placed = counts.where(large).select(
+        *[F.col(key).alias(f"__{key}") for key in keys], first.cast("int").alias("__first"),
+        several.alias("__several"))
+    return Slots(placed, filled // per_task + 1 if filled else 0, -(-rest // per_task))
+
+
+def in_slots(df: DataFrame, keys: Sequence[str], slots: Slots) -> DataFrame:
+    """Shuffle rows once, by slot: a group lies in one task, or in several if it is that large."""
+    if slots.all <= 1:
         return df.repartition(1)
-    schema = T.StructType(
-        [T.StructField(f"__{key}", df.schema[key].dataType) for key in keys]
-        + [T.StructField("__first", T.IntegerType()), T.StructField("__several", T.LongType())])
-    places = F.broadcast(spark.createDataFrame(placed, schema))
     same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys])
-    task = F.col("__first")
-    if any(several > 1 for *_, several in placed):
-        task = task + F.when(
-            F.col("__several") > 1, F.pmod(_spread(df), F.col("__several")).cast("int")).otherwise(0)
-    return (df.join(places, same, "left").withColumn("__task", task)
-            .repartitionById(tasks, "__task").select(df.columns))
+    own = F.col("__first") + F.when(
+        F.col("__several") > 1, F.pmod(_spread(df), F.col("__several")).cast("int")).otherwise(0)
+    by_hash = slots.own + F.pmod(F.xxhash64(*keys), F.lit(max(slots.loose, 1))).cast("int")
+    return (df.join(F.broadcast(slots.placed), same, "left")
+            .withColumn("__slot", F.coalesce(own, by_hash))
+            .repartitionById(slots.all, "__slot").select(df.columns))
 
 
 def by_partition(df: DataFrame, keys: Sequence[str], sort_by: Sequence[str] = (),
-                 rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """Bring the rows of one partition directory together, however large it is.
+                 rows_per_file: int = ROWS_PER_FILE,
+                 counts: DataFrame | None = None) -> DataFrame:
+    """Bring the rows of one partition directory together, however large it is and however many
+    there are.
 
     A hot directory is written by many tasks and a small one gets a single file.  (A plain
-    ``repartition(keys)`` sends the hot one to a single task.  ``REBALANCE``, which takes
-    over beyond ``MAX_GROUPS`` directories, splits tasks by size at run time and with them
-    whatever small directories share them.)  Sorting by the keys saves the writer its own
-    sort.
+    ``repartition(keys)`` sends the hot one to a single task.)  Sorting by the keys saves the
+    writer its own sort.
     """
-    groups = count_groups(df, keys)
-    together = (df.hint("rebalance", *keys) if groups.sizes is None
-                else grouped(df, keys, groups, rows_per_file, least=1))
+    together = in_slots(df, keys, group_slots(df, keys, rows_per_file, counts))
     return together.sortWithinPartitions(*keys, *sort_by)
 
 
+def range_files(df: DataFrame, rows_per_file: int = ROWS_PER_FILE,
+                smallest_file: int = SMALLEST_FILE) -> int:
+    """Into how many files the rows of a frame should go."""
+    rows = df.count()
+    return max(1, -(-rows // _rows_per_task(
+        df.sparkSession, rows, rows_per_file, min(smallest_file, rows_per_file))))
+
+
 def by_range(df: DataFrame, keys: Sequence[str], tie: Sequence[str],
              files: int | None = None, rows_per_file: int = ROWS_PER_FILE,
              smallest_file: int = SMALLEST_FILE) -> DataFrame:
     """Order rows over files by the read keys, so min/max statistics skip files.
 
-    With few distinct keys each gets its place in key order (``grouped``).  With many, or
-    when a number of files is asked for, Spark ranges over samples of the rows; the bounds
-    then include the tie columns (a unique id) and a scattered number.  Either way a key
-    that holds a third of the rows is cut into as many files as its size asks for.
+    Spark finds the bounds of the ranges by sampling rows; they include the tie columns (a unique
+    id) and a scattered number, so a key that holds a third of the rows is cut into as many files
+    as its size asks for, and copies of one row do not meet either.
     """
     order = [*keys, *[column for column in tie if column not in keys]]
-    least = min(smallest_file, rows_per_file)
-    groups = Groups(0, None) if files else count_few_groups(df, keys)
-    if groups.sizes is not None:
-        together = grouped(df, keys, groups, rows_per_file, least)
-    else:
-        files = files or -(-groups.rows // _rows_per_task(
-            df.sparkSession, groups.rows, rows_per_file, least))
-        together = df.withColumn("__scattered", _spread(df)).repartitionByRange(
-            files, *order, "__scattered")
+    files = files or range_files(df, rows_per_file, smallest_file)
+    together = df.withColumn("__scattered", _spread(df)).repartitionByRange(
+        files, *order, "__scattered")
     return together.sortWithinPartitions(*order).select(df.columns)
 
 
