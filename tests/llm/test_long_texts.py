@@ -1,0 +1,170 @@
+"""Texts that stop a careless search, digits of other scripts, and secrets by a plain loop."""
+
+import base64
+import hashlib
+import json
+import random
+import re
+import time
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tidemark.llm import packing, pii, queries, secrets
+
+MANY = 1_000_000
+LONG = {"spaces": " " * MANY, "line ends": "\n" * MANY, "letters": "a" * MANY,
+        "dashes": "-" * MANY, "underscores": "_" * MANY, "zeros": "0" * MANY,
+        "letters and at": "a" * MANY + "@", "letters before an address": "b" * MANY + "@c.org",
+        "at": "@" * MANY, "labels": "x@" + "a." * (MANY // 2), "names": "a1-_" * (MANY // 4),
+        "openings": "-----BEGIN " * (MANY // 11), "keywords": "secret = " * (MANY // 9)}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_searches_take_time_by_the_length(name):
+    text = LONG[name]
+    started = time.perf_counter()
+    secrets.base_spans(text)
+    secrets.confirmed_spans(text)
+    pii.replace(text, pii.Cipher(b"k"))
+    assert time.perf_counter() - started < 10
+
+
+def plain_ids():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def encode():
+    return packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                           public_tokenizers.PATTERN, queries.SPECIAL,
+                           public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@pytest.mark.parametrize("name", ["spaces", "line ends", "letters", "dashes", "zeros"])
+def test_long_runs_are_encoded_like_the_library(encode, name):
+    for text in (LONG[name], f"before {LONG[name]} after"):
+        started = time.perf_counter()
+        got = encode(text).tolist()
+        assert time.perf_counter() - started < 10
+        assert got == plain_ids()(text)
+
+
+def test_runs_around_the_limit_are_encoded_like_the_library(encode):
+    draw, ids = random.Random(4), plain_ids()
+    for size in (1999, 2000, 3999, 4000, 4001, 6001):
+        for char in "a \n-0é":
+            head = "".join(draw.choices("ab .", k=draw.randint(0, 2500)))
+            text = f"{head}{char * size}x y"
+            assert packing.has_long_run(text) or size < packing.LONG_RUN
+            assert encode(text).tolist() == ids(text)
+    assert not packing.has_long_run("some words " * 2000) and not packing.has_long_run("")
+
+
+def test_long_runs_go_through_spark(spark):
+    rows = [(1, " " * MANY), (2, "1٢" * 3000), (3, "a" * 50_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    made = queries.pack_documents(frame).toPandas()
+    ids = plain_ids()
+    for key, text in rows:
+        pieces = made[made.doc_id == key].sort_values("start")
+        assert np.frombuffer(b"".join(pieces.ids), "<u4").tolist() == [*ids(text), 0]
+    assert pii.pseudonymise(frame, b"k").count() == len(secrets.scan(frame).collect()) == 3
+
+
+VALUES = {"ssn": "078-05-1120", "card": "4111 1111 1111 1111", "date": "1999-12-31",
+          "ip": "97.51.17.173", "phone": "+353 86 123 4567"}
+
+
+def test_digits_of_any_script_are_read_and_kept():
+    cipher = pii.Cipher(b"k")
+    for kind, value in VALUES.items():
+        want, spans = pii.replace(value, cipher)
+        assert spans == [f"{kind}:0:{len(value)}"]
+        for zero in "٠０०":
+            def turned(text, zero=zero):
+                return "".join(chr(ord(zero) + int(c)) if c.isdigit() else c for c in text)
+            assert pii.replace(f"x {turned(value)}", cipher)[0] == f"x {turned(want)}"
+
+
+def test_phones_keep_code_and_length_and_link():
+    cipher = pii.Cipher(b"k")
+    for code, rest in (("353", "86 123 4567"), ("7", "495 123 4567"), ("44", "20 7946 0958"),
+                       ("1", "386 555 1832"), ("33", "1 42 68 53 00"), ("352", "26 12 34 56")):
+        text = f"+{code} {rest}"
+        made, spans = pii.replace(text, cipher)
+        assert spans == [f"phone:0:{len(text)}"] and made != text
+        assert made.startswith(f"+{code} ") and len(made) == len(text)
+    trunk, spans = pii.replace("+44 (0)20 7946 0958", cipher)
+    assert spans == ["phone:0:19"]
+    assert trunk.replace("(0)", "") == pii.replace("+44 20 7946 0958", cipher)[0]
+    assert pii.replace("v1.2.3.4 is out", cipher)[1] == []
+
+
+def test_addresses_are_those_of_the_pattern():
+    pattern = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+    draw = random.Random(6)
+    for _ in range(20_000):
+        text = "".join(draw.choices("ab1.@@-+ ,", k=draw.randint(0, 24)))
+        assert list(pii._mails(text)) == [m.span() for m in pattern.finditer(text)], text
+    long = "c" * 2000
+    a, b = (pii.letters(pii.Cipher(b"k"), t, "t") for t in (long, long[:-1] + "d"))
+    assert len(a) == len(b) == 2000 and a[:1900] == b[:1900] and a[-80:] != b[-80:]
+
+
+def encoded(data):
+    return base64.urlsafe_b64encode(data).decode().rstrip("=")
+
+
+TOKEN = ".".join([encoded(json.dumps({"alg": "HS256"}).encode()),
+                  encoded(json.dumps({"sub": "someone"}).encode()), "c2lnbmF0dXJl"])
+
+
+def test_tokens_behind_dotted_names_are_found():
+    for before in ("", "session1.", "example-host.com.", "mysession.abc.", "https://x.example/a.b.",
+                   "a/", f"{TOKEN}.", f"{TOKEN}/"):
+        spans = secrets.confirmed_spans(f"{before}{TOKEN} end")
+        assert ("jwt", len(before), len(before) + len(TOKEN)) in spans, before
+        assert len([s for s in spans if s[0] == "jwt"]) == before.count(TOKEN) + 1
+
+
+def test_encodings_within_encodings():
+    inner = f"auth {TOKEN} of the service"
+    once = base64.b64encode(inner.encode()).decode()
+    twice = base64.b64encode(f"data {once} end".encode()).decode()
+    for text in (once, twice, f"x {twice.encode().hex()} y"):
+        assert [k for k, _, _ in secrets.confirmed_spans(text)] == ["nested"]
+    assert secrets.confirmed_spans(base64.b64encode(b"only plain words, no more").decode()) == []
+
+
+def plain_base_spans(text):
+    """The contract, word for word: leftmost matches of each kind, failing ones dropped."""
+    out = []
+    for kind, pattern, flags, least in (
+            ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+             re.I | re.A, 12), ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]+", 0, 16)):
+        at = 0
+        while m := re.compile(pattern, flags).search(text, at):
+            at = m.end()
+            if len(m[2] if kind == "assign" else m[0]) >= least:
+                out.append((m.start(), ("assign", "access", "hex").index(kind), m.end(), kind))
+    return [(kind, start, end) for start, _, end, kind in sorted(out)]
+
+
+def test_query_finds_the_plain_base_spans(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in queries.op5_secrets(spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for key, text in rows:
+        spans = plain_base_spans(text or "")
+        kinds = [k for k, _, _ in spans]
+        want = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        row = got[key]
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(
+            map(kinds.count, ("assign", "access", "hex")))
+        assert row.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+        assert set(filter(None, want.split(","))) <= set(row.spans.split(","))

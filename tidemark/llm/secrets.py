@@ -171,7 +171,7 @@ def holds_secret(data: bytes, level: int) -> bool:
     except UnicodeDecodeError:
         return False
     return any(kind != "hex" for kind, _, _ in base_spans(inner)) or bool(
-        PEM.search(inner)) or level < NESTING and bool(confirmed_spans(inner, level))
+        PEM.search(inner)) or level <= NESTING and bool(confirmed_spans(inner, level))
 
 
 def signed_tokens(run: str) -> Iterator[tuple[int, int]]:
