@@ -236,6 +236,16 @@ batch AS (
 PERCENT = "CAST((20000 * {part} + {whole}) // (2 * {whole}) AS DOUBLE) / 100"
 
 
+def _late_orders(columns: str) -> str:
+    """Orders with the customers' columns, those of the first tenth of the customers late."""
+    return f"""SELECT {columns} FROM (
+    SELECT o_orderkey, c_name, o_totalprice, c_mktsegment, c_nationkey, c_acctbal, late,
+           CASE WHEN late THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+           CASE WHEN late THEN TIMESTAMP '2030-01-01 00:00:00' ELSE o_orderdate END AS o_orderdate
+    FROM (SELECT *, o_custkey <= (SELECT max(c_custkey) // 10 FROM customer) AS late FROM orders)
+    JOIN customer ON c_custkey = o_custkey)"""
+
+
 def _counts(*tables: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in tables)
@@ -248,13 +258,16 @@ def _stats(table: str, columns: tuple[str, ...]) -> str:
         f"CAST(max({c}) AS VARCHAR) AS max_value FROM {table}" for c in columns)
 
 
-def _verify() -> str:
-    """The report on correct tables: counted where the data decides, stated elsewhere."""
-    share = 100 * (0.30 + 0.70 * 3 / N)
-    hot = f"{share - 2:.2f}..{share + 2:.2f}"
-    rows = "(SELECT count(*) FROM employee)"
+def _verify(fact: str = "employee", batches: str = "", landed: int = 0) -> str:
+    """The report on correct tables: counted where the data decides, stated elsewhere.  Landed
+    rows are spread evenly, so three departments expect an even share of them."""
+    even, skewed = 100 * 3 / N, 100 * (0.30 + 0.70 * 3 / N)
+    orders = "(SELECT count(*) FROM orders)"
+    share = f"(({orders} * {skewed} + {landed * even}) / ({orders} + {landed}))"
+    hot = f"printf('%.2f..%.2f', {share} - 2, {share} + 2)"
+    rows = f"(SELECT count(*) FROM {fact})"
     hot_pct = (f"(SELECT CAST((20000 * count(*) FILTER (department_number <= 3) + count(*)) "
-               f"// (2 * count(*)) AS HUGEINT) FROM employee)")
+               f"// (2 * count(*)) AS HUGEINT) FROM {fact})")
     checks = [
         ("dimension_rows", f"'{N}'", "(SELECT CAST(count(*) AS VARCHAR) FROM department)", "true"),
         ("dimension_key_unique", "'0'", "'0'", "true"),
@@ -262,14 +275,14 @@ def _verify() -> str:
         ("fact_join_key_not_null", "'0'", "'0'", "true"),
         ("fact_orphan_rows", "'0'", "'0'", "true"),
         ("fact_watermark_not_null", "'0'", "'0'", "true"),
-        ("fact_rows", "(SELECT CAST(count(*) AS VARCHAR) FROM orders)",
+        ("fact_rows", f"(SELECT CAST(count(*) + {landed} AS VARCHAR) FROM orders)",
          f"CAST({rows} AS VARCHAR)", "true"),
         ("fact_partitions", f"'{N * BUCKETS}'",
-         "(SELECT CAST(count(*) AS VARCHAR) FROM (SELECT DISTINCT department_number, "
-         "employee_id_bucket FROM employee))", "true"),
+         f"(SELECT CAST(count(*) AS VARCHAR) FROM (SELECT DISTINCT department_number, "
+         f"employee_id_bucket FROM {fact}))", "true"),
         ("fact_rows_per_partition", "'>= 50'",
          f"CAST({rows} // {N * BUCKETS} AS VARCHAR)", f"{rows} // {N * BUCKETS} >= 50"),
-        ("fact_hot_share_pct", f"'{hot}'",
+        ("fact_hot_share_pct", hot,
          f"CAST({hot_pct} // 100 AS VARCHAR) || '.' || "
          f"lpad(CAST({hot_pct} % 100 AS VARCHAR), 2, '0')", "true"),
         ("fact_key_unique", "'0'", "'0'", "true"),
@@ -280,8 +293,8 @@ def _verify() -> str:
         ("output_extra_keys", "'0'", "'0'", "true"),
         ("output_key_unique", "'0'", "'0'", "true"),
         ("output_not_null", "'0'", "'0'", "true"),
-        ("fact_distinct_days", "'90..91'", "(SELECT CAST(count(DISTINCT CAST(updated_at AS DATE)) "
-         "AS VARCHAR) FROM employee)", "true"),
+        ("fact_distinct_days", f"'90..{92 if landed else 91}'",
+         f"(SELECT CAST(count(DISTINCT CAST(updated_at AS DATE)) AS VARCHAR) FROM {fact})", "true"),
         ("fact_not_partitioned_by_join_key", "'without department_name'",
          "'department_number,employee_id_bucket'", "true"),
         ("dimension_not_partitioned_by_join_key", "'without department_name'",
@@ -289,7 +302,7 @@ def _verify() -> str:
         ("output_not_partitioned", "'none'", "'none'", "true"),
         ("output_clustered", "'department_name'", "'department_name'", "true"),
     ]
-    return f"WITH {SOURCES} " + " UNION ALL ".join(
+    return f"WITH {SOURCES}{batches} " + " UNION ALL ".join(
         f"SELECT '{name}' AS \"check\", {expected} AS expected, {actual} AS actual, "
         f"{passed} AS passed" for name, expected, actual, passed in checks)
 
@@ -468,9 +481,31 @@ WHERE NOT (o.o_orderdate < TIMESTAMP '2000-01-01 00:00:00' AND o.o_orderpriority
         "batch_cycle_overlay": f"WITH {SOURCES},{_landed('employee', ASOF, 'first', False)},"
                                f"{_landed('first', LATER, 'second', True)} "
                                f"{READ_TABLE.format(fact='second')}",
-        "partitioned_write_roundtrip": "SELECT *, CAST(o_orderkey % 4 AS INTEGER) AS bucket "
-                                       "FROM orders",
-        "partitioned_write_one_key": "SELECT * FROM customer",
+        "partitioned_write_roundtrip": "SELECT *, CAST(o_orderkey % 4 AS INTEGER) AS bucket, "
+                                       "'o_orderpriority=' || o_orderpriority || '/bucket=' || "
+                                       "(o_orderkey % 4) AS directory FROM orders",
+        "partitioned_write_one_key": "SELECT *, 'c_nationkey=' || c_nationkey AS directory "
+                                     "FROM customer",
+        "gold_ranges": _late_orders("o_orderkey, c_name, o_orderstatus, o_totalprice, "
+                                    "o_orderdate, c_mktsegment, c_nationkey, c_acctbal"),
+        "ranges_report": "SELECT CAST(count(*) AS BIGINT) AS rows, 16 AS ranges, "
+                         "count(*) FILTER (late) AS changed_rows, true AS less_than_half, "
+                         f"true AS others_untouched FROM ({_late_orders('late')})",
+        "batch_cycle_ranges": f"WITH {SOURCES},{_landed('employee', ASOF, 'first', False)},"
+                              f"{_landed('first', LATER, 'second', True)} "
+                              f"{READ_TABLE.format(fact='second')}",
+        "verify_after_batch": _verify(
+            "second", f",{_landed('employee', ASOF, 'first', False)},"
+                      f"{_landed('first', LATER, 'second', True)}", 1000),
+        "stored_statistics": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, "
+            f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value "
+            "FROM orders" for c in ("o_orderkey", "o_custkey")),
+        "skewed_join": """
+SELECT l.o_orderkey, l_linenumber, l_partkey, o_custkey, o_orderdate
+FROM (SELECT CASE WHEN l_partkey % 3 = 0 THEN (SELECT min(o_orderkey) FROM orders)
+                  ELSE l_orderkey END AS o_orderkey, l_linenumber, l_partkey FROM lineitem) l
+JOIN orders o ON o.o_orderkey = l.o_orderkey""",
         "layout_detail": f"""
 WITH {SOURCES}
 SELECT 'employee' AS table_name, 'department_number,employee_id_bucket' AS partition_columns,

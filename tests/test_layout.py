@@ -1,14 +1,18 @@
+import threading
+
 import pytest
 from conftest import SMALL, plan_of, rows_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.plans import create_sources
 from tidemark.sources import (
-    analyze, by_partition, cluster_profile, cluster_summary, clustering_columns, materialise,
-    partition_columns, publish_clustered, read_table, scratch_folder, table_detail, value_rows,
-    write_clustered, write_partitioned,
+    TableSpec, analyze, append_rows, by_partition, cluster_profile, cluster_summary, clustering_columns,
+    compact_partitions, create_or_replace, materialise, partition_columns, publish_clustered,
+    read_table, scratch_folder, table_detail, value_rows, write_clustered, write_partitioned,
 )
 from tidemark.sources.writers import PLACED, _rows_per_task, group_slots, in_slots
 
@@ -241,3 +245,63 @@ def test_materialise_cuts_lineage(spark):
     got = materialise(df, "m")
     assert got.dtypes == df.dtypes and rows_of(got) == rows_of(df)
     assert "Range" not in plan_of(got)
+
+
+def test_readers_never_miss_a_table_that_is_published_anew(spark, database, tmp_path):
+    """With another type each time, while another thread reads it."""
+    table, seen, stop = f"{database}.t", [], threading.Event()
+
+    def publish(turn, kind):
+        path = str(tmp_path / f"v{turn}")
+        write_clustered(spark.range(60).selectExpr("id", f"CAST(id AS {kind}) AS v"), path, ["id"],
+                        ["id"], files=2)
+        publish_clustered(spark, table, path, ["id"])
+
+    publish(0, "bigint")
+    running = spark.table(table)
+
+    def read():
+        while not stop.is_set():
+            found = read_table(spark, table)
+            seen.append((dict(found.dtypes)["v"], found.count()))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for turn in range(1, 13):
+            publish(turn, ("string", "int", "bigint", "double")[turn % 4])
+    finally:
+        stop.set()
+        reader.join()
+    assert {n for _, n in seen} == {60} and len({kind for kind, _ in seen}) >= 3
+    assert running.count() == 60  # a query of the replaced table
+    assert [t.name for t in spark.catalog.listTables(database)] == ["t"]
+    with pytest.raises(AnalysisException):
+        read_table(spark, f"{database}.nowhere")
+
+
+def files_of(spark, table):
+    return {(r.p, r.file) for r in spark.table(table).select(
+        "p", F.col("_metadata.file_path").alias("file")).distinct().collect()}
+
+
+def test_batches_do_not_pile_up_files(spark, database):
+    table = f"{database}.t"
+    spec = TableSpec(T.StructType([T.StructField("id", T.LongType()),
+                                   T.StructField("p", T.IntegerType())]), ("p",))
+
+    def rows(low, high, parts):
+        return spark.range(low, high).selectExpr("id", f"CAST(id % {parts} AS INT) AS p")
+
+    create_or_replace(rows(0, 4_000, 4), table, spec)
+    first = files_of(spark, table)
+    for batch in range(10):
+        low = 4_000 + batch * 20
+        append_rows(rows(low, low + 20, 2), table, spec)
+        touched = rows(low, low + 20, 2).select("p")
+        compact_partitions(spark, table, ["p"], ["id"], touched, most_files=2, rows_per_file=2_000)
+    files = files_of(spark, table)
+    assert len(files) <= 2 * len(first)
+    assert {f for f in files if f[0] > 1} == {f for f in first if f[0] > 1}  # never touched
+    assert sorted(r.id for r in spark.table(table).collect()) == list(range(4_200))
+    assert compact_partitions(spark, table, ["p"], most_files=100) == 0

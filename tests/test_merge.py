@@ -9,7 +9,8 @@ from tidemark.operators import (
     FanOutError, append_only, duplicate_keys, hash_order_sample, latest_per_key,
     move_partitions, one_per_key, partial_update, touched_partitions, upsert,
 )
-from tidemark.operators.merge import held_partitions, within
+from tidemark.operators.merge import held_partitions
+from tidemark.sources.writers import within
 from tidemark.plans import (
     allocate_ids, create_sources, generate_dimension, generate_fact, land_batch, moved_rows,
     new_rows, next_id,

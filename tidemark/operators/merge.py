@@ -18,7 +18,7 @@ from tidemark.operators.joins import (
     BROADCAST_LIMIT, FanOutError, many_to_one_join, measure_side, sized_join,
 )
 from tidemark.sources.scratch import materialise, scratch_folder
-from tidemark.sources.writers import by_partition, quoted
+from tidemark.sources.writers import by_partition, overwriting_session, quoted, within
 
 
 def latest_per_key(batch: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
@@ -119,37 +119,12 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(and_, [left[key].eqNullSafe(right[key]) for key in keys])
 
 
-def within(df: DataFrame, partitions: DataFrame) -> DataFrame:
-    """Rows of the given partitions, a row each.
-
-    The keys are broadcast, as one struct each, and prune the scan at run time: no other partition
-    is read, not even one that shares each single key with some of them, and no list of keys
-    passes through the plan.  Null keys compare as equal inside a struct.  The count is what tells
-    the optimiser that the keys select; without a condition on them it does not prune.
-    """
-    keys = partitions.columns
-    some = partitions.groupBy(F.struct(*keys).alias("__partition")).agg(
-        F.count("*").alias("__rows")).where("__rows > 0")
-    return df.join(F.broadcast(some), F.struct(*[df[key] for key in keys]) == F.col("__partition"),
-                   "left_semi")
-
-
 def _partition_spec(row: Row) -> str:
     values = {name: "NULL" if value is None else str(value) if isinstance(value, int)
               else quoted(str(value)) for name, value in row.asDict().items()}
     return ", ".join(f"`{name}` = {value}" for name, value in values.items())
 
 
-def _overwriting_session(spark: SparkSession) -> SparkSession:
-    """A session with the same settings in which an overwrite replaces only what it writes to."""
-    own = spark.newSession()
-    for name, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(name):
-            own.conf.set(name, value)
-    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    return own
-
-
 def move_partitions(spark: SparkSession, table: str, updates: DataFrame, key: str,
                     assign: Mapping[str, str], partition_by: Sequence[str],
                     sort_by: Sequence[str] = (), held: Mapping[str, str] | None = None) -> int:
@@ -177,7 +152,7 @@ def move_partitions(spark: SparkSession, table: str, updates: DataFrame, key: st
     path = scratch_folder(spark, "rewrite")
     partial_update(within(target, touched), frozen, key, assign).write.parquet(path)
     rewritten = spark.read.schema(target.schema).parquet(path)
-    moved = _overwriting_session(spark).read.schema(target.schema).parquet(path)
+    moved = overwriting_session(spark).read.schema(target.schema).parquet(path)
     by_partition(moved, partition_by, sort_by).select(target.columns).write.mode(
         "overwrite").insertInto(table)
     filled = rewritten.select(*partition_by).distinct()

@@ -18,6 +18,23 @@ def analyze(spark: SparkSession, *tables: str) -> None:
         spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def stored_statistics(spark: SparkSession, table: str) -> DataFrame:
+    """What ``analyze`` has left in the catalog: rows of the table, and for each column nulls and,
+    other than for text, the smallest and largest value."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'").first()
+    rows = int(described.data_type.split(", ")[1].split()[0]) if described else None
+    found = []
+    for column in spark.table(table).columns:  # the catalog alone is read
+        info = {r.info_name: r.info_value for r in spark.sql(
+            f"DESCRIBE EXTENDED {table} `{column}`").collect()}
+        kept = {name: None if info.get(name) in (None, "NULL") else info[name]
+                for name in ("num_nulls", "min", "max")}
+        found.append((column, rows, kept["num_nulls"] and int(kept["num_nulls"]), kept["min"],
+                      kept["max"]))
+    return spark.createDataFrame(
+        found, "column_name string, rows bigint, nulls bigint, min_value string, max_value string")
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+STAGED = "__staged"  # behind the name of a table whose successor is being written
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -55,9 +59,24 @@ EMPLOYEE = TableSpec(
 )
 
 
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """A named catalog table, or a parquet folder when given a path."""
-    return spark.read.parquet(table) if "/" in table else spark.table(table)
+def read_table(spark: SparkSession, table: str, patience: float = 5.0) -> DataFrame:
+    """A named catalog table, or a parquet folder when given a path.
+
+    A table that is being replaced lacks its name for a moment; as long as its successor stands
+    ready under the staged name, this is waited for.
+    """
+    if "/" in table:
+        return spark.read.parquet(table)
+    until = time.monotonic() + patience
+    while True:
+        try:
+            return spark.table(table)
+        except AnalysisException as error:
+            if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND" or time.monotonic() > until or not (
+                    spark.catalog.tableExists(f"{table}{STAGED}")
+                    or spark.catalog.tableExists(table)):
+                raise
+            time.sleep(0.02)
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:

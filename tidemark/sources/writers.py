@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.layout import clustering_columns
-from tidemark.sources.scratch import materialise
-from tidemark.sources.tables import TableSpec, conform
+from tidemark.sources.scratch import materialise, scratch_folder
+from tidemark.sources.tables import STAGED, TableSpec, conform
 
 # A task sorts and writes about this many rows (100 to 200 MB as a rule) at any size of the
 # table, until that would take more tasks than a shuffle bears; they grow from there on.
@@ -153,13 +154,34 @@ def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def staged_name(table: str) -> str:
+    return f"{table}{STAGED}"
+
+
+def swap_in(spark: SparkSession, table: str) -> None:
+    """Let the table declared under the staged name take the table's place.
+
+    The catalog renames one table at a time, so the old one leaves its name just before the new
+    one takes it: two changes in a row with no work in between, for which ``read_table`` waits.
+    The old files stay for queries that run on them.
+    """
+    if spark.catalog.tableExists(table):
+        retired = f"{table}__retired_{uuid.uuid4().hex[:12]}"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {retired}")
+        spark.sql(f"ALTER TABLE {staged_name(table)} RENAME TO {table}")
+        spark.sql(f"DROP TABLE {retired}")
+    else:
+        spark.sql(f"ALTER TABLE {staged_name(table)} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+
+
 def create_or_replace(df: DataFrame, table: str, spec: TableSpec,
                       sort_by: Sequence[str] = ()) -> None:
     """Declare a partitioned catalog table with its comments and fill it.
 
     Rows go by position and are cast to the declared types.  ``sort_by`` orders rows
     inside each file; sorting by the high-water-mark column lets a later incremental read
-    skip row groups.
+    skip row groups.  An older table goes before the new one is filled.
     """
     spark = df.sparkSession
     laid_out = by_partition(conform(df, spec), spec.partition_by, sort_by)
@@ -182,23 +204,79 @@ def publish_clustered(spark: SparkSession, table: str, path: str, keys: Sequence
     """Point a table at a finished folder of clustered files.
 
     With the columns and types as before the swing is one catalog change: readers see the
-    old files or the new ones.  With others the table is declared anew, and is absent for a
-    moment.  Either way the old folder stays readable for queries still running on it.
+    old files or the new ones.  With others the table is declared anew under a second name and
+    then takes the place of the first (``swap_in``).  Either way the old folder stays readable
+    for queries still running on it.
     """
     columns = spark.read.parquet(path).schema
     described = [(f.name, f.dataType) for f in columns]
-    stands = spark.catalog.tableExists(table)
-    if stands and [(f.name, f.dataType) for f in spark.table(table).schema] != described:
-        spark.sql(f"DROP TABLE {table}")  # other columns or types; the old files stay
-        stands = False
-    if stands:
+    if spark.catalog.tableExists(table) and [
+            (f.name, f.dataType) for f in spark.table(table).schema] == described:
         if clustering_columns(spark, table) != list(keys):
             spark.sql(f"ALTER TABLE {table} CLUSTER BY ({', '.join(keys)})")
         spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(path)}")
     else:
         clause = f"COMMENT {quoted(comment)}" if comment else ""
+        spark.sql(f"DROP TABLE IF EXISTS {staged_name(table)}")
         spark.sql(
-            f"CREATE TABLE {table} ({columns.toDDL()}) USING parquet "
+            f"CREATE TABLE {staged_name(table)} ({columns.toDDL()}) USING parquet "
             f"CLUSTER BY ({', '.join(keys)}) {clause} LOCATION {quoted(path)}"
         )
+        swap_in(spark, table)
     spark.catalog.refreshTable(table)
+
+
+def within(df: DataFrame, partitions: DataFrame) -> DataFrame:
+    """Rows of the given partitions, a row each.
+
+    The keys are broadcast, as one struct each, and prune the scan at run time: no other partition
+    is read, not even one that shares each single key with some of them, and no list of keys
+    passes through the plan.  Null keys compare as equal inside a struct.  The count is what tells
+    the optimiser that the keys select; without a condition on them it does not prune.
+    """
+    keys = partitions.columns
+    some = partitions.groupBy(F.struct(*keys).alias("__partition")).agg(
+        F.count("*").alias("__rows")).where("__rows > 0")
+    return df.join(F.broadcast(some), F.struct(*[df[key] for key in keys]) == F.col("__partition"),
+                   "left_semi")
+
+
+def overwriting_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings in which an overwrite replaces only what it writes to."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    return own
+
+
+def compact_partitions(spark: SparkSession, table: str, partition_by: Sequence[str],
+                       sort_by: Sequence[str] = (), only: DataFrame | None = None,
+                       most_files: int = 4, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Merge the small files of the directories that hold more than ``most_files`` of them.
+
+    A file is small if it has less than half of the rows a file should have; ``only`` names the
+    directories to look at, such as those a batch touched.  They are written anew from a copy in
+    scratch, each into as few files as its rows fill; others keep their files.  Returns how many
+    directories were merged.
+    """
+    stored = spark.table(table)
+    if only is not None:
+        stored = within(stored, only.select(*partition_by).distinct())
+    per_file = stored.groupBy(*partition_by, F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("n"))
+    small = F.count_if(F.col("n") * 2 < rows_per_file)
+    crowded = materialise(per_file.groupBy(*partition_by).agg(
+        small.alias("small"), F.sum("n").alias("__rows")).where(F.col("small") > most_files),
+        "crowded")
+    count = crowded.count()
+    if count:
+        path = scratch_folder(spark, "compact")
+        within(spark.table(table), crowded.select(*partition_by)).write.parquet(path)
+        rows = overwriting_session(spark).read.schema(spark.table(table).schema).parquet(path)
+        by_partition(rows, partition_by, sort_by, rows_per_file,
+                     crowded.select(*partition_by, "__rows")).select(
+            spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        spark.catalog.refreshTable(table)
+    return count

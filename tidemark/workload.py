@@ -30,12 +30,12 @@ from tidemark.operators import (
 from tidemark.operators.joins import BROADCAST_LIMIT
 from tidemark.plans import (
     Expectations, allocate_ids, build_output, create_sources, generate_dimension,
-    generate_fact, land_batch, new_rows, quarantine, refresh_output, refresh_overlay,
-    run_build, verify, verify_layout,
+    generate_fact, land_batch, live_ranges, new_rows, quarantine, refresh_output,
+    refresh_overlay, refresh_ranges, run_build, stored_rows, verify, verify_layout,
 )
 from tidemark.sources import (
-    EMPLOYEE, append_rows, by_partition, cluster_summary, materialise,
-    read_table, scratch_folder, table_detail, write_clustered, write_partitioned,
+    EMPLOYEE, analyze, append_rows, by_partition, cluster_summary, materialise, read_table,
+    scratch_folder, stored_statistics, table_detail, write_clustered, write_partitioned,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,6 +171,16 @@ def shuffled_join_query(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_partkey", "o_orderstatus", "o_orderdate")
 
 
+def skewed_join_query(spark, sf_dir):
+    """Line items of which a third belong to one order, joined without a broadcast."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    hot = orders.agg(F.min("o_orderkey")).first()[0]
+    lines = _table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_partkey") % 3 == 0, F.lit(hot)).otherwise(F.col("l_orderkey"))
+        .alias("o_orderkey"), "l_linenumber", "l_partkey")
+    return many_to_one_join(lines, orders, "o_orderkey", broadcast_limit=0)
+
+
 def computed_key_join_query(spark, sf_dir):
     events = _table(spark, sf_dir, "events").select("event_id", "event_type")
     return computed_key_join(
@@ -427,6 +437,61 @@ def batch_cycle_overlay_query(spark, sf_dir):
     return spark.table(output)
 
 
+RANGES = 16
+
+
+def _late_orders(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders before and after those of every tenth of the first customers came in again: these
+    have another status and a later date; and the customers."""
+    fact, customer = _named_orders(spark, sf_dir), _table(spark, sf_dir, "customer")
+    few = customer.agg(F.floor(F.max("c_custkey") / 10)).first()[0]
+    late = F.col("o_custkey") <= few
+    kind = fact.schema["o_orderdate"].dataType
+    after = fact.withColumns({
+        "o_orderstatus": F.when(late, F.lit("X")).otherwise(F.col("o_orderstatus")),
+        "o_orderdate": F.when(late, anchor("2030-01-01 00:00:00").cast(kind)).otherwise(
+            F.col("o_orderdate"))})
+    return fact, after, customer
+
+
+def gold_ranges_query(spark, sf_dir):
+    """The read table after a refresh that rewrites only the ranges of changed customers."""
+    before, after, customer = _late_orders(spark, sf_dir)
+    view = f"{scratch_database(spark)}.orders"
+    refresh_ranges(spark, view, before, customer, ORDERS, files=RANGES)
+    refresh_ranges(spark, view, after, customer, ORDERS)
+    return spark.table(view)
+
+
+def ranges_report_query(spark, sf_dir):
+    """What that refresh wrote: changed rows, ranges, whether it rewrote less than half of them,
+    and how many of the ranges it left alone kept their very files."""
+    before, after, customer = _late_orders(spark, sf_dir)
+    view = f"{scratch_database(spark)}.orders"
+    refresh_ranges(spark, view, before, customer, ORDERS, files=RANGES)
+    stored = materialise(stored_rows(spark, view).select("range_id", "file").distinct(), "stored")
+    result = refresh_ranges(spark, view, after, customer, ORDERS)
+    kept = stored_rows(spark, view).select("range_id", "file").distinct().join(
+        stored, ["range_id", "file"], "left_semi")
+    return live_ranges(spark, view).agg(
+        F.sum("rows").alias("rows"), F.count("*").cast("int").alias("ranges")).select(
+        "*", F.lit(result.changed_rows).cast("bigint").alias("changed_rows"),
+        F.lit(0 < result.rewritten < RANGES / 2).alias("less_than_half"),
+        F.lit(kept.select("range_id").distinct().count() == RANGES - result.rewritten)
+        .alias("others_untouched"))
+
+
+def batch_cycle_ranges_query(spark, sf_dir):
+    """The cycle of batches with refreshes by range."""
+    database, employee, department = _source_tables(spark, sf_dir)
+    output, dimension = f"{database}.employee_department", spark.table(department)
+    refresh_ranges(spark, output, spark.table(employee), dimension, files=RANGES)
+    for batch in (BATCH, LATER_BATCH):
+        land_batch(spark, employee, department, CONFIG, batch)
+        refresh_ranges(spark, output, spark.table(employee), dimension)
+    return spark.table(output)
+
+
 # --- layout -------------------------------------------------------------------------
 
 def partitioned_write_roundtrip_query(spark, sf_dir):
@@ -435,14 +500,31 @@ def partitioned_write_roundtrip_query(spark, sf_dir):
         "bucket", bucket_of(F.col("o_orderkey"), 4))
     path = scratch_folder(spark, "orders")
     write_partitioned(orders, path, ["o_orderpriority", "bucket"], ["o_orderdate"])
-    return read_table(spark, path).select(orders.columns)
+    return read_table(spark, path).select(*orders.columns, _directory(path))
+
+
+def _directory(path: str):
+    """The folder a row was read from, below the table's own."""
+    name = path.rsplit("/", 1)[1]
+    return F.regexp_extract(
+        F.url_decode("_metadata.file_path"), f"{name}/(.*)/[^/]*$", 1).alias("directory")
 
 
 def partitioned_write_one_key_query(spark, sf_dir):
     customer = _table(spark, sf_dir, "customer")
     path = scratch_folder(spark, "customer")
     write_partitioned(customer, path, ["c_nationkey"])
-    return read_table(spark, path).select(customer.columns)
+    return read_table(spark, path).select(*customer.columns, _directory(path))
+
+
+def stored_statistics_query(spark, sf_dir):
+    """Statistics that the catalog keeps of a partitioned table."""
+    table = f"{scratch_database(spark)}.orders"
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"))
+    by_partition(orders, ["status"]).write.partitionBy("status").saveAsTable(table)
+    analyze(spark, table)
+    return stored_statistics(spark, table).where("column_name <> 'status'")
 
 
 def layout_detail_query(spark, sf_dir):
@@ -479,6 +561,22 @@ def verify_report_query(spark, sf_dir):
         "check", "expected", "actual", "passed")
 
 
+def verify_after_batch_query(spark, sf_dir):
+    """Every check after two landed batches, each followed by a refresh."""
+    database, employee, department = _source_tables(spark, sf_dir)
+    output, dimension = f"{database}.employee_department", spark.table(department)
+    orders = spark.table(employee).count()
+    refresh_ranges(spark, output, spark.table(employee), dimension, check=None)
+    for batch in (BATCH, LATER_BATCH):
+        land_batch(spark, employee, department, CONFIG, batch)
+        refresh_ranges(spark, output, spark.table(employee), dimension)
+    expected = Expectations.of(GenerationConfig(employees=orders),
+                               landed=BATCH.new_rows + LATER_BATCH.new_rows)
+    data = verify(spark.table(employee), dimension, spark.table(output), expected=expected)
+    return data.union(verify_layout(spark, employee, department, output)).select(
+        "check", "expected", "actual", "passed")
+
+
 def queries() -> dict[str, Query]:
     return {
         "keyed_hash": keyed_hash_query,
@@ -491,6 +589,7 @@ def queries() -> dict[str, Query]:
         "gold_full": gold_full_query,
         "gold_employee_department": gold_employee_department_query,
         "shuffled_join": shuffled_join_query,
+        "skewed_join": skewed_join_query,
         "computed_key_join": computed_key_join_query,
         "row_counts": row_counts_query,
         "duplicate_keys": duplicate_keys_query,
@@ -522,9 +621,14 @@ def queries() -> dict[str, Query]:
         "gold_orphaned_move": gold_orphaned_move_query,
         "batch_cycle": batch_cycle_query,
         "batch_cycle_overlay": batch_cycle_overlay_query,
+        "gold_ranges": gold_ranges_query,
+        "ranges_report": ranges_report_query,
+        "batch_cycle_ranges": batch_cycle_ranges_query,
         "partitioned_write_roundtrip": partitioned_write_roundtrip_query,
         "partitioned_write_one_key": partitioned_write_one_key_query,
         "layout_detail": layout_detail_query,
         "cluster_profile": cluster_profile_query,
         "verify_report": verify_report_query,
+        "verify_after_batch": verify_after_batch_query,
+        "stored_statistics": stored_statistics_query,
     }
