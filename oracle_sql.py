@@ -497,6 +497,18 @@ WHERE NOT (o.o_orderdate < TIMESTAMP '2000-01-01 00:00:00' AND o.o_orderpriority
         "verify_after_batch": _verify(
             "second", f",{_landed('employee', ASOF, 'first', False)},"
                       f"{_landed('first', LATER, 'second', True)}", 1000),
+        "sketch_stats": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, "
+            f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, "
+            "true AS near FROM (SELECT * REPLACE (CASE WHEN o_orderpriority = '1-URGENT' "
+            "THEN TIMESTAMP '2030-01-01 00:00:00' ELSE o_orderdate END AS o_orderdate) FROM orders)"
+            for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")),
+        "differences_located": """
+SELECT o_orderkey, 1::BIGINT AS source_rows,
+       CAST(CASE o_orderkey % 1000 WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE 1 END AS BIGINT) AS output_rows
+FROM orders WHERE o_orderkey % 1000 IN (1, 2) OR o_orderkey % 1000 = 3 AND o_totalprice <> 0""",
+        "curve_profile": "SELECT unnest(['l_partkey', 'l_suppkey']) AS key, 16::BIGINT AS files, "
+                         "true AS skips, (SELECT count(*) FROM lineitem) AS rows",
         "stored_statistics": " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, "
             f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value "

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.scratch import materialise
+
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: its label and its number of rows."""
@@ -76,3 +78,63 @@ def reconcile(source: DataFrame, output: DataFrame, key: str,
         F.sum("nulls").alias("output_nulls"),
     )
     return total.fillna(0)
+
+
+def leaf_digests(df: DataFrame, key: str, low: int, width: int, columns: Sequence[str] = (),
+                 ) -> DataFrame:
+    """Rows of each key range with a digest that does not depend on their order.
+
+    The digest covers the key and ``columns``.  Ranges are counted from ``low`` and ``width`` keys
+    wide, null keys on their own; sums combine where the rows lie, so a row for each range and task
+    is shuffled and no key is.
+    """
+    hashed = F.xxhash64(key, *columns)
+    leaf = F.coalesce(F.floor((F.col(key) - F.lit(low)) / F.lit(width)), F.lit(-1)).alias("leaf")
+    return df.groupBy(leaf).agg(
+        F.count("*").alias("rows"), F.sum(hashed.cast("decimal(38,0)")).alias("total"),
+        F.bit_xor(hashed).alias("mixed"))
+
+
+def locate_differences(source: DataFrame, output: DataFrame, key: str,
+                       columns: Sequence[str] = (), leaves: int = 4096) -> DataFrame:
+    """Keys whose rows differ between two tables: ``key``, ``source_rows``, ``output_rows``.
+
+    The key is a whole number.  Its span is cut into ``leaves`` ranges, whose digests are compared;
+    equal tables are done with that, in one scan each that shuffles no key.  Only of ranges that
+    differ the rows are read again, bounded by the smallest and largest of them so that the scan
+    skips the rest, and compared key by key.  A key with as many rows on both sides is listed if
+    its ``columns`` differ.
+    """
+    span = [df.agg(F.min(key).alias("low"), F.max(key).alias("high")) for df in (source, output)]
+    low, high = span[0].union(span[1]).agg(
+        F.coalesce(F.min("low"), F.lit(0)), F.coalesce(F.max("high"), F.lit(0))).first()
+    width = max(1, -(-(high - low + 1) // leaves))
+    one, two = (leaf_digests(df, key, low, width, columns) for df in (source, output))
+    sides = one.withColumn("side", F.lit(1)).union(two.withColumn("side", F.lit(2)))
+    # At most two rows of a leaf, so equality of all is that of the smallest and largest.
+    odd = sides.groupBy("leaf").agg(
+        F.count("*").alias("sides"), *[(F.min(c) == F.max(c)).alias(c) for c in (
+            "rows", "total", "mixed")]).where(
+        (F.col("sides") < 2) | ~(F.col("rows") & F.col("total") & F.col("mixed")))
+    odd = materialise(odd.select("leaf"), "leaves")
+    first, last, null = odd.agg(
+        F.min(F.when(F.col("leaf") >= 0, F.col("leaf"))), F.max("leaf"),
+        F.coalesce(F.bool_or(F.col("leaf") < 0), F.lit(False))).first()
+
+    def rows(df: DataFrame, own: int) -> DataFrame:
+        bounds = F.lit(False) if first is None else F.col(key).between(
+            low + first * width, low + (last + 1) * width - 1)
+        some = df.where(bounds | F.col(key).isNull() if null else bounds)
+        leaf = F.coalesce(F.floor((F.col(key) - F.lit(low)) / F.lit(width)), F.lit(-1))
+        found = some.withColumn("__leaf", leaf).join(
+            F.broadcast(odd.withColumnRenamed("leaf", "__leaf")), "__leaf", "left_semi")
+        hashed = F.xxhash64(F.lit(0), *columns)
+        return found.select(key, hashed.alias("h"), F.lit(own).alias("s"), F.lit(1 - own).alias("o"))
+
+    balance = F.sum(F.col("h").cast("decimal(38,0)") * (F.col("s") - F.col("o"))).alias("balance")
+    per_key = rows(source, 1).union(rows(output, 0)).groupBy(key).agg(
+        F.sum("s").alias("source_rows"), F.sum("o").alias("output_rows"), balance,
+        F.bit_xor("h").alias("odd"))
+    same = (F.col("source_rows") == F.col("output_rows")) & (F.col("balance") == 0) & (
+        F.col("odd") == 0)
+    return per_key.where(~same).select(key, "source_rows", "output_rows")

@@ -1,6 +1,6 @@
 from tidemark.sources.layout import (
-    analyze, cluster_profile, cluster_summary, clustering_columns, partition_columns,
-    stored_statistics, table_detail,
+    analyze, cluster_profile, cluster_summary, clustering_columns, file_spans,
+    partition_columns, stored_statistics, table_detail,
 )
 from tidemark.sources.scratch import materialise, scratch_folder
 from tidemark.sources.tables import (
@@ -8,13 +8,13 @@ from tidemark.sources.tables import (
 )
 from tidemark.sources.writers import (
     append_rows, by_partition, by_range, compact_partitions, create_or_replace,
-    publish_clustered, write_clustered, write_partitioned,
+    publish_clustered, write_clustered, write_curved, write_partitioned,
 )
 
 __all__ = [
     "DEPARTMENT", "EMPLOYEE", "TableSpec", "analyze", "append_rows", "by_partition",
     "by_range", "cluster_profile", "cluster_summary", "clustering_columns", "compact_partitions", "conform",
-    "create_or_replace", "materialise", "partition_columns", "publish_clustered",
+    "create_or_replace", "file_spans", "materialise", "partition_columns", "publish_clustered",
     "read_table", "row_range", "scratch_folder", "stored_statistics", "table_detail", "value_rows",
-    "write_clustered", "write_partitioned",
+    "write_clustered", "write_curved", "write_partitioned",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,3 +122,16 @@ def cluster_summary(df: DataFrame, key: str) -> DataFrame:
         F.max("files_of_key").alias("max_files_per_key"), F.sum("n").alias("rows"))
     return keys.withColumn("file", files).select("*", "file.*").drop("file").withColumn(
         "well_clustered", F.col("pairs") <= F.col("keys") + F.col("files") - 1)
+
+
+
+def file_spans(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per numeric key: files, and the share of its whole span that a file covers on
+    average.  The smaller the share, the fewer files a filter on the key reads."""
+    spans = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(*[
+        f(k).alias(f"{n}_{k}") for k in keys for f, n in ((F.min, "low"), (F.max, "high"))])
+    measures = [F.struct(
+        F.lit(k).alias("key"), F.count("*").alias("files"),
+        (F.avg(F.col(f"high_{k}") - F.col(f"low_{k}"))
+         / (F.max(f"high_{k}") - F.min(f"low_{k}"))).alias("share_of_span")) for k in keys]
+    return spans.agg(F.array(*measures).alias("k")).select(F.inline("k"))

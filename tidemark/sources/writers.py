@@ -138,6 +138,53 @@ def by_range(df: DataFrame, keys: Sequence[str], tie: Sequence[str],
     return together.sortWithinPartitions(*order).select(df.columns)
 
 
+def _bucket(df: DataFrame, keys: Sequence[str], bits: int) -> list[Column]:
+    """For each key the number of the range a value falls into, of two to the ``bits`` ranges of
+    about as many rows; nulls come first.  Bounds are estimated in one aggregate, which returns a
+    row; the ranges are found by halving, in compiled code."""
+    cuts = [i / 2 ** bits for i in range(1, 2 ** bits)]
+    found = df.agg(*[F.approx_percentile(key, cuts).alias(f"b{i}")
+                     for i, key in enumerate(keys)]).first()
+
+    def halve(value: Column, bounds: list, low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value < F.lit(bounds[middle]), halve(value, bounds, low, middle)).otherwise(
+            halve(value, bounds, middle + 1, high))
+
+    out = []
+    for key, bounds in zip(keys, found, strict=True):
+        if bounds is None:  # no value at all
+            out.append(F.lit(0))
+            continue
+        bounds = sorted(set(bounds))
+        out.append(F.when(F.col(key).isNull(), 0).otherwise(
+            halve(F.col(key), bounds, 0, len(bounds))))
+    return out
+
+
+def curve(df: DataFrame, keys: Sequence[str], bits: int = 5) -> Column:
+    """A row's place on a curve through the space of the keys, whose stretches are narrow in all
+    of them: the bits of each key's range in turn (Morton order)."""
+    place = F.lit(0).cast("long")
+    for i, bucket in enumerate(_bucket(df, keys, bits)):
+        for bit in range(bits):
+            one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1)).cast("long")
+            place = place + F.shiftleft(one, bit * len(keys) + i)
+    return place
+
+
+def write_curved(df: DataFrame, path: str, keys: Sequence[str], tie: Sequence[str],
+                 files: int | None = None, rows_per_file: int = ROWS_PER_FILE,
+                 smallest_file: int = SMALLEST_FILE) -> None:
+    """Cluster rows by several numeric or temporal keys alike, so that a filter on any of them
+    skips files; sorting by the first key would serve that one alone."""
+    placed = df.withColumn("__curve", curve(df, keys))
+    by_range(placed, ["__curve"], [*keys, *tie], files, rows_per_file, smallest_file).drop(
+        "__curve").write.parquet(path)
+
+
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str],
                       sort_by: Sequence[str] = (), mode: str = "errorifexists",
                       rows_per_file: int = ROWS_PER_FILE) -> None:

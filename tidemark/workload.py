@@ -23,9 +23,10 @@ from tidemark.functions import (
 from tidemark.functions import vocabulary as v
 from tidemark.operators import (
     append_only, column_stats, computed_key_join, duplicate_keys, hash_order_sample,
-    high_water_mark, many_to_one_join, move_partitions, newer_than, not_null_report,
-    one_per_key, orphans, partial_update, partition_profile, reconcile, relationships,
-    row_counts, skew_profile, upsert, watermark_profile,
+    high_water_mark, locate_differences, many_to_one_join, merged_stats, move_partitions,
+    newer_than, not_null_report, one_per_key, orphans, partial_update, partition_profile,
+    reconcile, refresh_sketches, relationships, row_counts, sketch_partitions, skew_profile,
+    upsert, watermark_profile,
 )
 from tidemark.operators.joins import BROADCAST_LIMIT
 from tidemark.plans import (
@@ -34,8 +35,9 @@ from tidemark.plans import (
     refresh_overlay, refresh_ranges, run_build, stored_rows, verify, verify_layout,
 )
 from tidemark.sources import (
-    EMPLOYEE, analyze, append_rows, by_partition, cluster_summary, materialise, read_table,
-    scratch_folder, stored_statistics, table_detail, write_clustered, write_partitioned,
+    EMPLOYEE, analyze, append_rows, by_partition, cluster_summary, file_spans, materialise,
+    read_table, scratch_folder, stored_statistics, table_detail, write_clustered, write_curved,
+    write_partitioned,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -273,6 +275,35 @@ def employee_watermark_profile_query(spark, sf_dir):
     return watermark_profile(_employees(spark, sf_dir)[0], "updated_at")
 
 
+def sketch_stats_query(spark, sf_dir):
+    """Statistics of orders kept by priority: sketched once, then refreshed for the urgent ones,
+    which have got a later date meanwhile; the estimate of distinct values is within five percent."""
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    kind = orders.schema["o_orderdate"].dataType
+    now = orders.withColumn("o_orderdate", F.when(
+        urgent, anchor("2030-01-01 00:00:00").cast(kind)).otherwise(F.col("o_orderdate")))
+    stored = materialise(sketch_partitions(orders, ["o_orderpriority"]), "sketches")
+    touched = now.where(urgent).select("o_orderpriority").distinct()
+    kept = refresh_sketches(stored, now, ["o_orderpriority"], touched)
+    exact = column_stats(now.drop("o_orderpriority"), distinct="exact").select(
+        "column_name", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.05 * F.col("exact")
+    return merged_stats(kept).join(F.broadcast(exact), "column_name").select(
+        "column_name", "rows", "nulls", "min_value", "max_value", near.alias("near"))
+
+
+def differences_located_query(spark, sf_dir):
+    """Orders against a copy that lost some, doubled some and changed the price of others."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    key = F.col("o_orderkey")
+    copy = orders.where(key % 1000 != 1).withColumn("o_totalprice", F.when(
+        key % 1000 == 3, F.lit(0.0)).otherwise(F.col("o_totalprice")))
+    copy = copy.unionByName(copy.where(key % 1000 == 2)).repartition("o_custkey")
+    return locate_differences(orders, copy, "o_orderkey", ["o_custkey", "o_totalprice"])
+
+
 # --- high-water mark and samples ----------------------------------------------------
 
 def _older_events(spark, sf_dir) -> DataFrame:
@@ -548,6 +579,18 @@ def cluster_profile_query(spark, sf_dir):
         "rows", "keys", "well_clustered")
 
 
+def curve_profile_query(spark, sf_dir):
+    """Line items laid out by part and supplier at once: in sixteen files, each covers less than
+    half of the span of either key."""
+    path = scratch_folder(spark, "lineitem")
+    write_curved(_table(spark, sf_dir, "lineitem"), path, ["l_partkey", "l_suppkey"],
+                 ["l_orderkey", "l_linenumber"], files=16)
+    laid = read_table(spark, path)
+    spans = file_spans(laid, ["l_partkey", "l_suppkey"]).select(
+        "key", "files", (F.col("share_of_span") < 0.5).alias("skips"))
+    return spans.crossJoin(F.broadcast(laid.agg(F.count("*").alias("rows"))))  # one row
+
+
 def verify_report_query(spark, sf_dir):
     """Every check on freshly built tables."""
     database, employee, department = _source_tables(spark, sf_dir)
@@ -605,6 +648,8 @@ def queries() -> dict[str, Query]:
         "employee_skew_profile": employee_skew_profile_query,
         "employee_watermark_profile": employee_watermark_profile_query,
         "column_stats": column_stats_query,
+        "sketch_stats": sketch_stats_query,
+        "differences_located": differences_located_query,
         "watermark_delta": watermark_delta_query,
         "watermark_inclusive": watermark_inclusive_query,
         "hash_order_sample": hash_order_sample_query,
@@ -628,6 +673,7 @@ def queries() -> dict[str, Query]:
         "partitioned_write_one_key": partitioned_write_one_key_query,
         "layout_detail": layout_detail_query,
         "cluster_profile": cluster_profile_query,
+        "curve_profile": curve_profile_query,
         "verify_report": verify_report_query,
         "verify_after_batch": verify_after_batch_query,
         "stored_statistics": stored_statistics_query,
