@@ -74,6 +74,40 @@ def test_join_equals_brute_force(spark, monkeypatch, few, block):
     assert [got[i].component_id for i in range(len(given))] == roots
 
 
+def test_runs_of_postings_are_packed_and_opened():
+    draw = np.random.default_rng(2)
+    for count in (1, 2, 500):
+        token = np.sort(draw.integers(0, 1 << 48, count).astype(np.uint64))
+        who = draw.integers(0, 40, count)
+        salt, place = draw.integers(0, 9, count), draw.integers(0, 70_000, count)
+        cid, n, m = draw.integers(-(1 << 62), 1 << 62, 40), draw.integers(1, 1 << 30, 40), draw.integers(1, 5, 40)
+        got = jaccard.unpack_run(jaccard.pack_run(token, salt, who, place, cid, n, m))
+        want = [token.view(np.int64), salt, cid[who], n[who], m[who], place]
+        assert all(np.array_equal(g, w) for g, w in zip(got, want, strict=True))
+
+
+@pytest.mark.parametrize("bits", [28, 10])
+def test_rows_without_those_named(spark, monkeypatch, bits):
+    """A filter far too small lets everything through, to the same rows."""
+    monkeypatch.setattr(jaccard, "FILTER_BITS", bits)
+    rows = spark.range(4000).select(F.xxhash64("id").alias("name"), "id", F.lit("x").alias("id2"))
+    gone = rows.where("id % 7 = 0").select("name")
+    kept = jaccard.without(rows, gone)
+    assert sorted(r.id for r in kept.collect()) == [i for i in range(4000) if i % 7]
+    assert kept.columns == rows.columns
+    assert jaccard.without(rows, gone.limit(0)).count() == 4000
+
+
+@pytest.mark.parametrize("runs, bits", [(50, 28), (2_000_000, 10)])
+def test_join_in_small_runs_and_by_a_small_filter(spark, monkeypatch, runs, bits):
+    monkeypatch.setattr(jaccard, "RUN", runs)
+    monkeypatch.setattr(jaccard, "FILTER_BITS", bits)
+    given = texts(seed=8)
+    sets, roots = expected_groups(given)
+    got = {r.doc_id: r for r in joined(spark, list(enumerate(given))).collect()}
+    assert [got[i].component_id for i in range(len(given))] == roots
+
+
 def test_join_with_odd_keys(spark):
     got = joined(spark, [(None, "a b"), (3, "a b"), (None, "c d"), (5, None), (5, None),
                          (7, "e f"), (7, "e f")]).collect()
