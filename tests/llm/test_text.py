@@ -284,6 +284,23 @@ def test_lexicon_is_learned_and_exceptions_count(spark):
     assert toxicity.learn(docs, marks.where("toxic = 0")) == toxicity.Lexicon()
 
 
+def test_toxicity_model_is_the_same_in_any_order(spark):
+    draw = random.Random(9)
+    rows = [(i % 150, f"some filler {draw.randrange(30)} " + (
+        f"you grumble{i % 5} " if i % 3 == 0 else "fine day ") * draw.randint(1, 3))
+        for i in range(600)] + [(5, None), (6, "")]
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(150)],
+                                  "doc_id bigint, toxic int")
+    models = []
+    for parts, order in ((1, rows), (7, rows[::-1]), (3, draw.sample(rows, len(rows)))):
+        frame = spark.createDataFrame(order, "doc_id bigint, text string").repartition(parts)
+        models.append(toxicity.learn(frame, marks.repartition(parts)))
+    for other in models[1:]:
+        assert other.weights == models[0].weights and other.exceptions == models[0].exceptions
+        assert np.array_equal(other.curve, models[0].curve)
+    assert models[0].weights
+
+
 def test_pieces_cover_every_token_once(spark):
     rows = [*ODD, *((i, "some words " * (i % 97)) for i in range(100, 900))]
     made = queries.pack_documents(odd(spark, rows).where("doc_id IS NOT NULL").dropDuplicates(

@@ -11,7 +11,8 @@ out.  The sample is bounded: about ``SAMPLE`` rows of either label, chosen by a
 
 A null or empty text scores what a text without entries scores.  Texts are read whole; equal
 texts get equal scores.  Without labelled rows of both kinds every score is 0.  A document
-with several labels counts as toxic if one says so.  Only the named columns are read, so
+with several labels counts as toxic if one says so, and one with several texts is learned from
+by the smallest; the model is the same for any order and dealing of the rows.  Only the named columns are read, so
 other columns play no part.
 """
 
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import add_columns, hash_below, held_out, per_worker, share, shared
+from tidemark.sources.scratch import materialise
 
 SAMPLE = 10_000  # labelled rows of either label that are learned from
 STEMS = range(4, 9)  # lengths of stems that may become entries
@@ -193,10 +195,12 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     wanted = F.lit(False)
     for y, n in counts.items():
         wanted |= (F.col("y") == y) & hash_below(share(sample, n), "k")
-    # About 2 x sample rows of a key and a label.
-    rows = (df.select(F.col(key).alias("k"), F.col(text).alias("t"))
-            .join(F.broadcast(known.where(wanted)), "k").dropDuplicates(["k"])
-            .select("t", "y"))
+    # About 2 x sample rows of a key and a label.  Read and reduced once, so that all parts of the
+    # model come from the same texts.
+    rows = materialise(
+        df.select(F.col(key).alias("k"), F.col(text).alias("t"))
+        .join(F.broadcast(known.where(wanted)), "k").groupBy("k").agg(
+            F.min("t").alias("t"), F.max("y").alias("y")).select("t", "y"), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -219,7 +223,8 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("toxic"),
                 F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("clean"))
             .where((F.col("toxic") >= LEAST_DOCS) | (F.col("entry") == "")))
-    counted = {r["entry"]: (r["toxic"], r["clean"]) for r in seen.toArrow().to_pylist()}
+    counted = {r["entry"]: (r["toxic"], r["clean"])
+               for r in sorted(seen.toArrow().to_pylist(), key=lambda r: r["entry"])}
     toxic, clean = counted.pop("", (0, 0))
     if not toxic or not clean:
         return Lexicon()
@@ -253,6 +258,7 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     lexicon.exceptions = frozenset(
         (r["a"], r["b"]) for r in phrases.toArrow().to_pylist())
     fit = held.where("a IS NULL").select("total", "density", "y").toArrow()  # 2 x sample rows
+    fit = fit.sort_by([(c, "ascending") for c in fit.column_names])
     lexicon.curve = curve_of(
         np.array([features(t, d) for t, d in zip(
             fit.column(0).to_pylist(), fit.column(1).to_pylist(), strict=True)]),
