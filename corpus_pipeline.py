@@ -67,8 +67,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
              .select("name"))
     placed = placed.withColumn("name", F.xxhash64(
         ident["id"], ident["id"].isNull(), ident["body"]))
-    few = gone.count() <= jaccard.BROADCAST
-    kept = placed.join(F.broadcast(gone) if few else gone, "name", "left_anti")
+    kept = jaccard.without(placed, gone)
     again = materialise(again, "pipeline-again")
     if not again.isEmpty():
         kept = kept.join(again, "name", "left_anti").unionByName(
