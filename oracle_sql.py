@@ -284,7 +284,8 @@ def _verify(fact: str = "employee", batches: str = "", landed: int = 0) -> str:
          f"CAST({rows} // {N * BUCKETS} AS VARCHAR)", f"{rows} // {N * BUCKETS} >= 50"),
         ("fact_hot_share_pct", hot,
          f"CAST({hot_pct} // 100 AS VARCHAR) || '.' || "
-         f"lpad(CAST({hot_pct} % 100 AS VARCHAR), 2, '0')", "true"),
+         f"lpad(CAST({hot_pct} % 100 AS VARCHAR), 2, '0')",
+         f"CAST({hot_pct} AS DOUBLE) / 100 BETWEEN {share} - 2 AND {share} + 2"),
         ("fact_key_unique", "'0'", "'0'", "true"),
         ("fact_key_not_null", "'0'", "'0'", "true"),
         ("output_rows_equal_fact_rows", "'equal'",

@@ -77,15 +77,15 @@ def test_wide_values_count_towards_the_size(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_split_join_equals_plain_join(skewed, parents, how):
-    split = many_to_one_join(skewed, parents, "k", how, broadcast_limit=0)
-    assert rows_of(split, "id", "k", "a") == rows_of(skewed.join(parents, "k", how), "id", "k", "a")
+def test_shuffled_join_equals_plain_join(skewed, parents, how):
+    joined = many_to_one_join(skewed, parents, "k", how, broadcast_limit=0)
+    assert rows_of(joined, "id", "k", "a") == rows_of(skewed.join(parents, "k", how), "id", "k", "a")
 
 
-def test_split_anti_join_equals_plain_anti_join(skewed, parents):
+def test_shuffled_anti_join_equals_plain_anti_join(skewed, parents):
     some = parents.filter("k <> 'hot'")
-    split = unmatched_rows(skewed, some.union(some), "k", broadcast_limit=0)
-    assert rows_of(split, "id", "k") == rows_of(skewed.join(some, "k", "left_anti"), "id", "k")
+    joined = unmatched_rows(skewed, some.union(some), "k", broadcast_limit=0)
+    assert rows_of(joined, "id", "k") == rows_of(skewed.join(some, "k", "left_anti"), "id", "k")
 
 
 def test_small_side_is_broadcast_and_large_side_not_shuffled(skewed, parents):

@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 # A side is broadcast only when its measured in-memory size stays below this.
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
-# Keys with at least this share of the large side are split off in a shuffled join.  There
-# are at most 1 / HOT_SHARE of them, which bounds what is collected and broadcast for them.
-
 ROW_OVERHEAD = 48
 
 
