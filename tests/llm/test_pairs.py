@@ -214,12 +214,6 @@ def test_search_of_nothing_and_of_huge_values(spark):
     assert [(r.vec_id, r.score) for r in huge] == [(1, 2**63 - 1), (2, -2**63)]
 
 
-def plain_stage(rows):
-    """Rows that stay when one of each group does."""
-    _, roots = expected_groups([t for _, t in rows])
-    return {rows[i][1] for i in range(len(rows)) if roots[i] == i}
-
-
 def test_duplicate_stage_keeps_one_of_each_group(spark):
     given = [(i, t) for i, t in enumerate(texts(8))] + [(3, "one two"), (None, "null key"),
                                                        (None, "null key")]
