@@ -107,6 +107,12 @@ def test_column_stats(spark, mode):
         ("ts", 6, 0, 3, "2026-01-01 00:00:00", "2026-01-03 00:00:00")]
 
 
+def test_exact_column_stats_scan_once(spark, tmp_path):
+    fact_of(spark, FACT).write.parquet(str(tmp_path / "t"))
+    stats = column_stats(spark.read.parquet(str(tmp_path / "t")), ["id", "k"], "exact")
+    assert plan_of(stats).split("Initial Plan")[-1].count("FileScan") == 1
+
+
 def test_column_stats_refuses_other_modes(spark):
     with pytest.raises(ValueError):
         column_stats(spark.range(1), distinct="some")

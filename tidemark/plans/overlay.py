@@ -103,8 +103,8 @@ def refresh_overlay(spark: SparkSession, view: str, fact: DataFrame, dimension:
     arrived = built.count()
     changes = spark.table(_changes(view)).select(*spec.columns)
     lost = filtering_join(changed, built, spec.key, "left_anti").select(spec.key)
-    if not filtering_join(spark.table(view).select(spec.key), lost, spec.key,
-                          "left_semi").isEmpty():
+    if not lost.isEmpty() and not filtering_join(
+            spark.table(view).select(spec.key), lost, spec.key, "left_semi").isEmpty():
         # A view of kept and changed rows cannot take one out of the base, so the base is
         # written anew without the rows that no longer join.
         base = spark.table(_base(view)).select(*spec.columns)
