@@ -133,17 +133,20 @@ def has_long_run(text: str, size: int = LONG_RUN) -> bool:
 
 def encoder(vocabulary: str, pattern: str, special: dict[str, int], slow: str):
     """The ids of a text.  Long runs overflow the fast encoder's matcher or take it too long, so
-    texts that hold one are encoded by the library whose file ``slow`` is, to the same ids."""
-    from tokenizers import Tokenizer
-
-    fast, full = encoding(vocabulary, special, pattern), Tokenizer.from_file(slow)
+    texts that hold one are encoded by the library whose file ``slow`` is, to the same ids; it is
+    loaded when the first such text comes."""
+    fast, loaded = encoding(vocabulary, special, pattern), []
 
     def encode(text: str) -> np.ndarray:
         if not has_long_run(text):
             return fast.encode_to_numpy(text, allowed_special="all")
-        full.no_truncation()
-        full.no_padding()
-        return np.array(full.encode(text, add_special_tokens=False).ids, np.uint32)
+        if not loaded:
+            from tokenizers import Tokenizer
+
+            loaded.append(Tokenizer.from_file(slow))
+            loaded[0].no_truncation()
+            loaded[0].no_padding()
+        return np.array(loaded[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
     return encode
 
