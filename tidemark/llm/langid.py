@@ -24,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import add_columns, hash_below, held_out, per_worker, share, shared
+from tidemark.llm.common import (
+    add_columns, hash_below, held_out, in_portions, per_worker, share, shared,
+)
 
 SIZES = (3, 4)
 LEAST_SHARE = 2e-5
@@ -117,7 +119,7 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", language: str
         yield from flush()
 
     counted = (rows.where(wanted & F.col("t").isNotNull()).select("t", "l")
-               .mapInArrow(count, "l string, gram long, n long")
+               .mapInArrow(in_portions(count), "l string, gram long, n long")
                .groupBy("l", "gram").agg(F.sum("n").alias("n")))
     totals = counted.groupBy("l").agg(F.sum("n").alias("total"))
     chosen = (counted.join(F.broadcast(totals), "l")  # a row for each language

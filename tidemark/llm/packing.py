@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import per_worker
+from tidemark.llm.common import in_portions, per_worker
 
 TIERS = (1024, 512, 256, 128, 64)
 STEP_TOKENS = 65_536
@@ -177,7 +177,7 @@ def pack(df: DataFrame, vocabulary: str, pattern: str, special: dict[str, int],
         yield from packer.batches(1, schema)
 
     return df.select(key, text).mapInArrow(
-        run, f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, "
+        in_portions(run), f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, "
              "sequence_id long, offset long, tier int, step_group long")
 
 

@@ -29,7 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import add_columns, hash_below, held_out, per_worker, share, shared
+from tidemark.llm.common import (
+    add_columns, hash_below, held_out, in_portions, per_worker, share, shared,
+)
 from tidemark.sources.scratch import materialise
 
 SAMPLE = 10_000  # labelled rows of either label that are learned from
@@ -218,7 +220,8 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 [pa.array(held.keys(), pa.string()), pa.array([y] * len(held), pa.int32()),
                  pa.array(held.values(), pa.int64())], names=["entry", "y", "n"])
 
-    seen = (rows.dropDuplicates(["t", "y"]).mapInArrow(count, "entry string, y int, n long")
+    seen = (rows.dropDuplicates(["t", "y"])
+            .mapInArrow(in_portions(count), "entry string, y int, n long")
             .groupBy("entry").agg(
                 F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("toxic"),
                 F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("clean"))
@@ -251,7 +254,8 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                     columns, (pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32()),
                     strict=True)], names=["a", "b", "total", "density", "y"])
 
-    held = rows.mapInArrow(neighbours, "a string, b string, total double, density double, y int")
+    held = rows.mapInArrow(
+        in_portions(neighbours), "a string, b string, total double, density double, y int")
     phrases = (held.where("a IS NOT NULL").groupBy("a", "b").agg(
         F.sum(F.col("y")).alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
         .where((F.col("clean") >= EXCEPTION_DOCS) & (F.col("clean") > 4 * F.col("toxic"))))
