@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from conftest import SMALL, declared, fact_of, plan_of, rows_of
 from hypothesis import HealthCheck, given, settings
@@ -17,6 +19,7 @@ from tidemark.plans import (
 )
 from tidemark.plans.batch import HELD, MOVE
 from tidemark.sources import EMPLOYEE
+from tidemark.sources.scratch import scratch_folder
 
 TARGET = [(1, "a", 10, 0), (2, "b", 20, 0), (3, "c", 30, 0)]
 BATCH = [(2, "B", 21, 5), (4, "D", 40, 5)]
@@ -157,6 +160,21 @@ def test_moves_without_a_match_touch_nothing(spark, database):
     assert rows_of(spark.table(table)) == [(1, 1)]
 
 
+def test_moves_write_the_rows_of_a_partition_once(spark, database):
+    """Scratch holds the moves and a row for each partition, not the rows that stay."""
+    table = f"{database}.t"
+    spark.range(5_000).selectExpr("id", "concat('v', id) AS v", "int(id % 2) AS p").write.partitionBy(
+        "p").saveAsTable(table)
+    root = Path(scratch_folder(spark, "any").removeprefix("file:")).parent
+    before = set(root.iterdir()) if root.exists() else set()
+    updates = spark.createDataFrame([(4, 1), (7, 3)], "id bigint, np int")
+    assert move_partitions(spark, table, updates, "id", {"p": "np"}, ["p"]) == 3
+    written = sum(spark.read.parquet(str(f)).count() for f in set(root.iterdir()) - before)
+    assert written < 50
+    want = {i: i % 2 for i in range(5_000)} | {4: 1, 7: 3}
+    assert {r.id: r.p for r in spark.table(table).collect()} == want
+
+
 def test_moves_handle_null_and_text_partitions(spark, database):
     table = f"{database}.t"
     rows = [(1, None), (2, "it's a \\ here"), (3, "c")]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.joins import (
     BROADCAST_LIMIT, FanOutError, many_to_one_join, measure_side, sized_join,
 )
-from tidemark.sources.scratch import materialise, scratch_folder
+from tidemark.sources.scratch import materialise
 from tidemark.sources.writers import by_partition, overwriting_session, quoted, within
 
 
@@ -136,12 +136,12 @@ def move_partitions(spark: SparkSession, table: str, updates: DataFrame, key: st
     of the updates that says where the row lies now; the table is then read in those partitions
     alone.  Without it the keys of the whole table are read to find them.
 
-    New contents are first written to the shared scratch folder: the table is never overwritten
-    while it is being read, and a lost executor costs a task, not the table.  The emptied
+    New contents are staged beside the old ones and take their place when the job commits, after
+    all has been read: a lost executor costs a task, not the table.  The emptied
     partitions go in one statement after the others are in place, so a failure in between leaves
     rows that can be seen twice, but none is lost.  Returns the number of partitions touched.
     """
-    target = spark.table(table)
+    target = overwriting_session(spark).table(table)
     frozen = materialise(updates, "updates")
     touched = materialise(
         held_partitions(frozen, target, assign, held).select(*partition_by) if held
@@ -149,13 +149,12 @@ def move_partitions(spark: SparkSession, table: str, updates: DataFrame, key: st
     count = touched.count()
     if not count:
         return 0
-    path = scratch_folder(spark, "rewrite")
-    partial_update(within(target, touched), frozen, key, assign).write.parquet(path)
-    rewritten = spark.read.schema(target.schema).parquet(path)
-    moved = overwriting_session(spark).read.schema(target.schema).parquet(path)
-    by_partition(moved, partition_by, sort_by).select(target.columns).write.mode(
+    moved = partial_update(within(target, touched), frozen, key, assign)
+    counts = materialise(
+        moved.groupBy(*partition_by).agg(F.count("*").alias("__rows")), "filled")
+    by_partition(moved, partition_by, sort_by, counts=counts).select(target.columns).write.mode(
         "overwrite").insertInto(table)
-    filled = rewritten.select(*partition_by).distinct()
+    filled = counts.select(*partition_by)
     emptied = touched.join(filled, _same(touched, filled, partition_by), "left_anti").collect()
     if emptied:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(
