@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import compare
 import corpus_pipeline
-from tidemark.llm import itq, jaccard, topk
+from tidemark.llm import common, itq, jaccard, topk
 from tidemark.llm.components import connected
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -108,6 +108,41 @@ def test_join_in_small_runs_and_by_a_small_filter(spark, monkeypatch, runs, bits
     assert [got[i].component_id for i in range(len(given))] == roots
 
 
+def test_phrases_seldom_in_a_chunk_tie_no_clumps(spark, monkeypatch):
+    """A phrase of all texts, in three of each chunk, goes to the back of their orders."""
+    monkeypatch.setattr(jaccard, "FEW", 4)
+    monkeypatch.setattr(jaccard, "CHUNK", 1)
+    monkeypatch.setattr(common, "PORTION", 3)
+    written = {}
+
+    def kept(df, label, write=jaccard.materialise):
+        written[label] = write(df, label)
+        return written[label]
+
+    monkeypatch.setattr(jaccard, "materialise", kept)
+    draw = random.Random(5)
+    given = [" ".join([f"t{i}x{j}" for j in range(20)] + [f"phrase{j}" for j in range(20)]
+                      + draw.choices(WORDS, k=30)) for i in range(120)]
+    given += [given[7] + " end", given[60] + " end"]
+    sets, roots = expected_groups(given)
+    got = {r.doc_id: r for r in joined(spark, list(enumerate(given))).collect()}
+    assert [got[i].component_id for i in range(len(given))] == roots
+    assert written["jaccard-members"].isEmpty()
+
+
+def test_order_is_rare_first_and_the_same_for_all_sets():
+    draw = np.random.default_rng(6)
+    levels = draw.integers(0, 90, 1 << 10).astype(np.uint8)
+    every = np.unique(draw.integers(0, 1 << 63, 3000).astype(np.uint64) * np.uint64(2))
+    order, often = jaccard.in_order(every, levels)
+    assert (np.diff(often) >= 0).all() and often[0] >= 1 and set(order) == set(every)
+    place = {token: i for i, token in enumerate(order.tolist())}
+    for _ in range(20):
+        some = np.sort(draw.choice(every, 200, replace=False))
+        at = [place[token] for token in jaccard.in_order(some, levels)[0].tolist()]
+        assert at == sorted(at)
+
+
 def test_join_with_odd_keys(spark):
     got = joined(spark, [(None, "a b"), (3, "a b"), (None, "c d"), (5, None), (5, None),
                          (7, "e f"), (7, "e f")]).collect()
