@@ -1,5 +1,6 @@
 """Operators on pairs, and the pipeline, against brute force."""
 
+import math
 import random
 import re
 
@@ -143,6 +144,42 @@ def test_order_is_rare_first_and_the_same_for_all_sets():
         assert at == sorted(at)
 
 
+def test_levels_and_filters_reach_the_driver_as_their_own_bytes(spark, monkeypatch):
+    """However many places are taken, no more than the array itself is collected."""
+    collected, frames = [], type(spark.range(0))
+
+    def kept(frame, collect=frames.toArrow):
+        collected.append(collect(frame))
+        return collected[-1]
+
+    monkeypatch.setattr(frames, "toArrow", kept)
+    monkeypatch.setattr(jaccard, "LEVEL_BITS", 18)
+    counts = spark.range(400_000).select(
+        F.xxhash64("id").alias("token"), (2 + F.col("id") % 40).alias("count"))
+    profile = counts.union(counts.where("count > 20")).union(
+        spark.sql("SELECT CAST(NULL AS BIGINT), CAST(9 AS BIGINT)"))
+    levels = jaccard._levels(profile)
+    want = np.zeros(1 << 18, np.uint8)
+    for r in profile.where("token IS NOT NULL").groupBy("token").agg(
+            F.sum("count").alias("n")).collect():
+        at = (r.token & (1 << 64) - 1) >> 46
+        want[at] = max(want[at], math.ceil(4 * math.log2(r.n)))
+    assert np.array_equal(levels, want) and (want > 0).mean() > .7
+    assert collected.pop().nbytes <= levels.nbytes
+
+    names = spark.range(200_000).select(F.xxhash64("id").alias("th"))
+    words, width = jaccard._filter(names)
+    taken = jaccard._bits(np.array([r.th for r in names.collect()]), width).ravel()
+    want = np.zeros(1 << width, bool)
+    want[taken.astype(np.int64)] = True
+    assert np.array_equal(np.unpackbits(words.view(np.uint8), bitorder="little"), want)
+    assert collected.pop().nbytes <= 1.1 * words.nbytes
+    for rows in (names.limit(0), names.limit(1)):
+        words, width = jaccard._filter(rows)
+        assert width == 10 and bool(words.any()) == (rows.count() == 1)
+    assert not jaccard._levels(profile.limit(0)).any()
+
+
 def test_join_with_odd_keys(spark):
     got = joined(spark, [(None, "a b"), (3, "a b"), (None, "c d"), (5, None), (5, None),
                          (7, "e f"), (7, "e f")]).collect()
